@@ -14,7 +14,9 @@ from breachscope import schema as S
 
 def known(text: Column) -> Column:
     """Null where the raw text is one of the "no value" tokens (exact match)."""
-    return F.when(~text.isin(S.NULL_TOKENS), text)
+    # "if" generates a quarter less code than "case when". With it the whole log
+    # is cleaned by one method small enough for the JVM to compile (8000 bytes).
+    return F.call_function("if", text.isin(S.NULL_TOKENS), F.lit(None).cast("string"), text)
 
 
 def day_first_time(text: Column) -> Column:
@@ -23,28 +25,25 @@ def day_first_time(text: Column) -> Column:
     The text is turned into ISO order and cast to a zone-free type, so the
     session time zone (and its daylight-saving gaps) cannot shift a value.
     """
-    iso = F.regexp_replace(
-        F.trim(text), r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(.*)$", "$3-$2-$1$4"
-    )
-    return iso.try_cast("timestamp_ntz")
+    day_first = r"^\s*(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
+    return F.regexp_replace(text, day_first, "$3-$2-$1").try_cast("timestamp_ntz")
 
 
 def flag_word(value: Column) -> Column:
     return F.lower(F.trim(value.cast("string")))
 
 
-def is_unexpected_flag(value: Column) -> Column:
-    """True where a value is present but spells neither true nor false."""
-    return F.coalesce(~flag_word(value).isin(S.TRUE_WORDS + S.FALSE_WORDS), F.lit(False))
+def is_unexpected_flag(word: Column) -> Column:
+    """True where a word is present but spells neither true nor false."""
+    return F.coalesce(~word.isin(S.TRUE_WORDS + S.FALSE_WORDS), F.lit(False))
 
 
-def flag(value: Column, name: str, strict: bool = True) -> Column:
-    """Common spellings of a flag as a boolean.
+def flag(word: Column, name: str, strict: bool = True) -> Column:
+    """A ``flag_word`` as a boolean.
 
-    ``strict`` fails the job on the first unexpected spelling; otherwise such
-    values become null and are left to ``unexpected_flags`` to report.
+    ``strict`` fails the job on an unexpected spelling; otherwise such values
+    become null and are left to ``unexpected_flags`` to report.
     """
-    word = flag_word(value)
     result = F.when(word.isin(S.TRUE_WORDS), F.lit(True)).when(
         word.isin(S.FALSE_WORDS), F.lit(False)
     )
@@ -54,10 +53,13 @@ def flag(value: Column, name: str, strict: bool = True) -> Column:
     return result
 
 
-def counter(value: Column) -> Column:
-    """A whole number, or null where the value is not one."""
-    number = F.trim(value.cast("string")).try_cast("double")
-    return F.when(number == F.floor(number), number).try_cast("int")
+def number(value: Column) -> Column:
+    return F.trim(value.cast("string")).try_cast("double")
+
+
+def whole(amount: Column) -> Column:
+    """A ``number`` as an integer, or null where it has a fraction."""
+    return F.when(amount == F.floor(amount), amount).try_cast("int")
 
 
 # ------------------------------------------------------------- derived values

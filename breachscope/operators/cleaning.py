@@ -35,7 +35,10 @@ def _is(df: DataFrame, column: str, kind: str) -> bool:
 
 
 def null_tokens(events: DataFrame) -> DataFrame:
-    """Replace the "no value" texts of every text column by null."""
+    """Replace the "no value" texts of every text column by null.
+
+    ``read_event_log`` has done this; it is for logs from elsewhere.
+    """
     return events.select(
         *[
             E.known(F.col(c)).alias(c) if _is(events, c, "string") else F.col(c)
@@ -53,13 +56,16 @@ def parse_timestamps(events: DataFrame) -> DataFrame:
 def normalize_flags(events: DataFrame, strict: bool = True) -> DataFrame:
     """Spellings of the two lifecycle flags as booleans; typed flags stay as they are."""
     untyped = [c for c in S.EVENT_FLAGS if c in events.columns and not _is(events, c, "boolean")]
-    return events.withColumns({c: E.flag(F.col(c), c, strict) for c in untyped})
+    # Two steps, so that a word that is looked at several times is computed once.
+    words = events.withColumns({c: E.flag_word(F.col(c)) for c in untyped})
+    return words.withColumns({c: E.flag(F.col(c), c, strict) for c in untyped})
 
 
 def coerce_counters(events: DataFrame) -> DataFrame:
     """Whole numbers, bad -> null; columns that are whole numbers stay as they are."""
     untyped = [c for c in S.EVENT_COUNTERS if c in events.columns and not _is(events, c, "integer")]
-    return events.withColumns({c: E.counter(F.col(c)) for c in untyped})
+    numbers = events.withColumns({c: E.number(F.col(c)) for c in untyped})
+    return numbers.withColumns({c: E.whole(F.col(c)) for c in untyped})
 
 
 def unexpected_flags(events: DataFrame) -> DataFrame:
@@ -80,8 +86,8 @@ def unexpected_flags(events: DataFrame) -> DataFrame:
 
 
 def type_events(events: DataFrame, strict: bool = True) -> DataFrame:
-    """All-text log to typed log: null tokens, timestamps, flags, counters."""
-    return coerce_counters(normalize_flags(parse_timestamps(null_tokens(events)), strict))
+    """Log of texts, "no value" being null, to typed log; typed columns stay."""
+    return coerce_counters(normalize_flags(parse_timestamps(events), strict))
 
 
 def event_order(events: DataFrame) -> Column:
@@ -159,9 +165,8 @@ def order_columns(incidents: DataFrame) -> DataFrame:
 def clean_incidents(
     events: DataFrame, columns: Sequence[str] | None = None, strict: bool = True
 ) -> DataFrame:
-    """The whole step from the raw (or typed) log to incidents.
-
-    With ``columns``, only those incident columns are produced.
+    """The whole step from the log, as ``read_event_log`` returns it or already
+    typed, to incidents. With ``columns``, only those columns are produced.
     """
     needed = None
     if columns is not None:

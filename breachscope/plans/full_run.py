@@ -21,6 +21,7 @@ from breachscope.operators import checks as C
 from breachscope.operators import risk as R
 from breachscope.operators import segments as G
 from breachscope.operators.cleaning import clean_incidents
+from breachscope.session import CODE_SIZE_SETTING
 from breachscope.sources.events import read_event_log
 from breachscope.sources.incidents import read_incidents, write_incidents
 from breachscope.sources.reports import write_report
@@ -106,7 +107,7 @@ def run_all(
 
 def main(argv: list[str]) -> None:
     events_csv, out = argv
-    spark = SparkSession.builder.appName("breachscope").getOrCreate()
+    spark = SparkSession.builder.appName("breachscope").config(*CODE_SIZE_SETTING).getOrCreate()
     run_all(read_event_log(spark, events_csv), out, partition_by=("opened_year",))
 
 

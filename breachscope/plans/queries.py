@@ -64,7 +64,7 @@ def _columns(*names: str, inputs: list[str] | None = None, **computed) -> Query:
 
 def _events(pick: Callable[[DataFrame], DataFrame], *names: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return pick(M.raw_event_log(spark, sf_dir)).select("number", *names)
+        return pick(L.null_tokens(M.raw_event_log(spark, sf_dir))).select("number", *names)
 
     return run
 
@@ -354,7 +354,7 @@ def registry() -> dict[str, Query]:
         "closure_time_hours": _columns("closure_time_hours"),
         "calendar_dims": _columns("opened_date", "opened_month", "opened_year"),
         "clean_incidents": lambda spark, sf_dir: shown(
-            L.clean_incidents(M.raw_event_log(spark, sf_dir)).select(
+            L.clean_incidents(L.null_tokens(M.raw_event_log(spark, sf_dir))).select(
                 "number", *_ROUND_TRIP, "active", "sys_mod_count", "incident_state", "caller_id",
                 "resolved_by", "sys_updated_at", "location",
             )

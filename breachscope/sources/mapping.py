@@ -43,7 +43,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_resolved = ~((F.col("l_linestatus") == "O") & (F.col("l_discount") < 0.015))
     is_closed = is_resolved & (F.col("l_tax") < 0.075)
     burden = F.col("l_quantity") + weight + moves * 8 + (group_no * 37) % 120 + (category_no * 23) % 120
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Both tables grow with the data: neither side is broadcast.
+    joined = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         F.concat(F.lit("INC"), F.lpad(_text(F.col("o_orderkey")), 10, "0")).alias("number"),
         F.col("o_orderdate").alias("opened_at"),
