@@ -55,10 +55,14 @@ def _on(columns: list[str], report: Callable[[DataFrame], DataFrame], settled=Fa
 
 
 def _columns(*names: str, inputs: list[str] | None = None, **computed) -> Query:
-    """Row-level query: the incident number, stored columns and expressions."""
+    """Row-level query: the incident number, stored columns and expressions.
+
+    Expressions are built when the query runs; before that there may be no session.
+    """
     needed = list(names) + (inputs or [])
     return _on(
-        needed, lambda i: i.select("number", *names, *[c.alias(n) for n, c in computed.items()])
+        needed,
+        lambda i: i.select("number", *names, *[make().alias(n) for n, make in computed.items()]),
     )
 
 
@@ -361,21 +365,21 @@ def registry() -> dict[str, Query]:
         ),
         # expressions
         "priority_level": _columns(
-            inputs=["priority"], priority_level=E.priority_level(F.col("priority"))
+            inputs=["priority"], priority_level=lambda: E.priority_level(F.col("priority"))
         ),
         "priority_rank": _columns(
-            inputs=["priority"], priority_rank=E.priority_rank(F.col("priority"))
+            inputs=["priority"], priority_rank=lambda: E.priority_rank(F.col("priority"))
         ),
         "reassignment_level": _columns(
             inputs=["reassignment_bucket"],
-            reassignment_level=E.reassignment_level(F.col("reassignment_bucket")),
+            reassignment_level=lambda: E.reassignment_level(F.col("reassignment_bucket")),
         ),
         "bucket_rank": _columns(
-            inputs=["reassignment_bucket"], bucket_rank=E.bucket_rank(F.col("reassignment_bucket"))
+            inputs=["reassignment_bucket"], bucket_rank=lambda: E.bucket_rank(F.col("reassignment_bucket"))
         ),
         "coalesce_unknown": _columns(
             inputs=["assignment_group"],
-            assignment_group_label=F.coalesce("assignment_group", F.lit(S.UNKNOWN)),
+            assignment_group_label=lambda: F.coalesce("assignment_group", F.lit(S.UNKNOWN)),
         ),
         "rate_pct": _on(["opened_year", "sla_breached"], _counted_by_year),
         "filter_count": _on(["made_sla", "reassignment_count", "category"], _filter_counts),
