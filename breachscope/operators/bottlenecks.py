@@ -76,8 +76,9 @@ def drivers(groups: DataFrame, classified: DataFrame, strict: bool = False) -> D
     eligible = groups.where("eligible_for_comparison").select(
         "assignment_group", *_FIGURES, *_DRIVERS
     )
-    classes = classified.select("assignment_group", "bottleneck_class").dropDuplicates(
-        ["assignment_group"]
+    # One class per group; the choice among repeated groups does not depend on row order.
+    classes = classified.groupBy("assignment_group").agg(
+        F.min("bottleneck_class").alias("bottleneck_class")
     )
     result = eligible.join(classes, "assignment_group", "left")
     if strict:

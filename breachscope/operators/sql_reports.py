@@ -7,7 +7,7 @@ with percentiles take more passes (see ``functions.percentiles``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from breachscope import schema as S
@@ -175,11 +175,11 @@ def q09_breach_concentration(
         .agg(*_counts("incident_count", _BREACHED))
         .where(F.col("incident_count") >= min_sample)
     )
-    # The whole-result window sees grouped rows only, and only surviving groups.
-    all_breaches = F.sum(_BREACHED).over(Window.partitionBy())
+    # The total is of surviving pairs only. It reads the same shuffle as the rows.
+    all_breaches = counts.agg(F.sum(_BREACHED).alias("n"))
     return (
         counts.withColumn("sla_breach_rate_pct", _rate(_BREACHED))
-        .withColumn("_all", all_breaches)
+        .withColumn("_all", all_breaches.scalar())
         .withColumn("share_of_all_breaches_pct", _rate(_BREACHED, "_all"))
         .drop("_all")
         .orderBy(

@@ -7,7 +7,6 @@ need several passes over the incidents store the columns they use first
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ from breachscope.operators import kpis as K
 from breachscope.operators import risk as R
 from breachscope.operators import segments as G
 from breachscope.operators import sql_reports as Q
-from breachscope.session import settle, shared_folder
+from breachscope.session import settle, work_path
 from breachscope.sources import incidents as I
 from breachscope.sources import mapping as M
 from breachscope.sources.events import read_event_log
@@ -153,12 +152,8 @@ def _merged_reference(incidents: DataFrame) -> DataFrame:
 # -------------------------------------------------------------------- sources
 
 
-def _work_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/breachscope/{uuid.uuid4().hex}"
-
-
 def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _work_path(spark)
+    path = work_path(spark)
     M.raw_event_log(spark, sf_dir).drop(L.ROW_ORDER).write.option("header", True).csv(path)
     log = read_event_log(spark, path)
     return L.type_events(log).select(
@@ -188,26 +183,26 @@ def _full_width(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _work_path(spark)
+    path = work_path(spark)
     I.write_incidents(_full_width(spark, sf_dir), path, partition_by=("opened_year",))
     return shown(I.read_incidents(spark, path, ordered=True).select("number", *_ROUND_TRIP))
 
 
 def _loaded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    csv_path, table_path = _work_path(spark), _work_path(spark)
+    csv_path, table_path = work_path(spark), work_path(spark)
     rows = I.write_incidents(_full_width(spark, sf_dir), csv_path, "csv")
     I.load_incidents_table(spark, csv_path, table_path, expected_rows=rows)
     return shown(I.read_incidents(spark, table_path).select("number", *_ROUND_TRIP))
 
 
 def _loaded_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _work_path(spark)
+    path = work_path(spark)
     I.write_incidents(_full_width(spark, sf_dir), path, "csv")
     return shown(I.read_incidents_csv(spark, path).select("number", *_ROUND_TRIP))
 
 
 def _load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    csv_path, table_path = _work_path(spark), _work_path(spark)
+    csv_path, table_path = work_path(spark), work_path(spark)
     I.write_incidents(_full_width(spark, sf_dir), csv_path, "csv")
     header = I.check_header(spark, csv_path)
     I.load_incidents_table(spark, csv_path, table_path)
@@ -219,7 +214,7 @@ def _load_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _report_round_trip(incidents: DataFrame) -> DataFrame:
     spark = incidents.sparkSession
     table = G.sla_priority(incidents, **_ONCE)
-    return write_report(table, _work_path(spark), "priority_sla_performance", "csv")
+    return write_report(table, work_path(spark), "priority_sla_performance", "csv")
 
 
 # --------------------------------------------------------------------- checks
@@ -248,7 +243,6 @@ def _check_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _check_scores(incidents: DataFrame) -> DataFrame:
     reference = settle(R.reference_from_profile(R.factor_profile(incidents)))
     scores = settle(R.risk_scores(incidents, reference))
-    # A log with many unknown factors may leave an incident with one or none.
     return C.v02_risk_scores(scores, incidents, reference)
 
 

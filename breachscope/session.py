@@ -50,6 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def work_path(spark: SparkSession) -> str:
+    """A new path for an intermediate table. All of an application lie in one
+    folder, which can be removed once the application has ended."""
+    folder = f"{shared_folder(spark)}/breachscope/{spark.sparkContext.applicationId}"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
@@ -58,6 +65,6 @@ def settle(df: DataFrame) -> DataFrame:
     lost executor costs a re-read, not a recomputation.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/breachscope/{uuid.uuid4().hex}"
+    path = work_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
