@@ -23,6 +23,10 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+# White space and every other ASCII character that is neither a letter nor a digit.
+SIGNS = np.zeros(256, dtype=bool)
+SIGNS[:128] = [not chr(i).isalnum() for i in range(128)]
+
 _powers: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
 
@@ -90,15 +94,19 @@ class Prefix:
         return mix((self._sums[size:] - self._sums[:count]) * self._inverse[:count])
 
 
+def joined(rows: list[bytes], fold: np.ndarray = _LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """All rows in one array with a blank after each, and where each row starts."""
+    data = np.frombuffer(b" ".join(rows) + b" ", np.uint8)
+    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+    return fold[data], np.concatenate(([0], np.cumsum(lengths + 1)))
+
+
 class Words:
     """The words of a block of rows: maximal runs without ASCII white space,
     A-Z lower-cased. ``first[i]:first[i + 1]`` are the words of row ``i``."""
 
     def __init__(self, rows: list[bytes], fold: np.ndarray = _LOWER, space: np.ndarray = _SPACE):
-        data = np.frombuffer(b" ".join(rows) + b" ", np.uint8)
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.row_start = np.concatenate(([0], np.cumsum(lengths + 1)))
-        self.bytes = fold[data]
+        self.bytes, self.row_start = joined(rows, fold)
         blank = space[self.bytes]
         change = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
         self.starts, self.ends = change[0::2], change[1::2]

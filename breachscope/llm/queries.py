@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachscope.llm import exact_dedup, packing, sharding
+from breachscope.llm import decontamination, exact_dedup, language, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.wide_crc(pieces)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, ~language.held_out())
+    predicted = language.predict(docs.select("doc_id", "text"), model)
+    return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 _TEXT = "coalesce(text, '')"
 
 _OP3 = f"""
@@ -62,9 +73,11 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": op2_decontamination,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_sharding": op5_sharding,
         "op8_packing": op8_packing,
+        "op10_language_id": op10_language_id,
     }
 
 
