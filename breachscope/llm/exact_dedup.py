@@ -85,7 +85,8 @@ def exact_duplicates(
         F.coalesce(F.col("bits").bitwiseAND(mask) == mask, F.lit(False)).alias("maybe"),
     )
     suspects = tested.where("maybe").select("doc_id", "digest")
-    groups = (
+    # Written, so that adaptive execution can split a large group in the join below.
+    groups = settle(
         suspects.groupBy("digest")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
