@@ -142,14 +142,22 @@ def _document_frequencies(texts: DataFrame) -> np.ndarray:
                 names=["part", "sums"],
             )
 
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = sum(np.array(x, np.int64) for x in table.column("sums").to_pylist())
-        return pa.table({"part": [key[0].as_py()], "sums": [total.tolist()]}).cast(
-            pa.schema([("part", pa.int32()), ("sums", pa.list_(pa.int64()))])
-        )
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}  # 65 parts at most
+        for batch in batches:
+            for part, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                totals[part] = totals.get(part, 0) + np.array(values, np.int64)
+        if totals:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(totals), pa.int32()),
+                    pa.array([t.tolist() for t in totals.values()], pa.list_(pa.int64())),
+                ],
+                names=["part", "sums"],
+            )
 
     kind = "part int, sums array<long>"
-    parts = texts.mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).collect()
+    parts = texts.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).collect()
     total = np.zeros(FEATURES + 1, np.int64)
     for r in parts:
         total[r["part"] << 10 : (r["part"] << 10) + len(r["sums"])] = r["sums"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachscope.llm import decontamination, exact_dedup, language, packing, sharding
+from breachscope.llm import decontamination, exact_dedup, jaccard, language, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Rule(4, 85, 100))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -76,6 +80,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_sharding": op5_sharding,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_packing": op8_packing,
         "op10_language_id": op10_language_id,
     }
