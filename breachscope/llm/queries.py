@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachscope.llm import decontamination, exact_dedup, jaccard, language, packing, sharding
+from breachscope.llm import decontamination, exact_dedup, jaccard, language, packing, sharding, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.wide_crc(pieces)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs, ~language.held_out())
@@ -82,6 +86,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sharding": op5_sharding,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_packing": op8_packing,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_language_id": op10_language_id,
     }
 
