@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breachscope.llm import decontamination, exact_dedup, jaccard, language, packing, sharding, suffixes
+from breachscope.llm import (
+    decontamination,
+    exact_dedup,
+    jaccard,
+    language,
+    line_dedup,
+    packing,
+    sharding,
+    suffixes,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +49,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document: line numbers apart, its text as a digest."""
+    short = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return short.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Rule(4, 85, 100))
 
@@ -84,6 +99,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_sharding": op5_sharding,
+        "op6_line_dedup": op6_line_dedup,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_packing": op8_packing,
         "op9_suffix_dedup": op9_suffix_dedup,
