@@ -12,10 +12,12 @@ from breachscope.llm import (
     exact_dedup,
     jaccard,
     language,
+    licenses,
     line_dedup,
     packing,
     sharding,
     suffixes,
+    url_filter,
 )
 
 
@@ -23,6 +25,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def captures_and_list(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Captures with a time of fetch, and a dated list about their hosts and paths.
+
+    The tables hold neither, so both are derived from `pages`: the time from the page id,
+    the entries from the checksum of each host, parent domain and first path segment.
+    """
+    start = F.to_date(F.lit("2024-01-01"))
+    captures = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.date_add(start, F.pmod(F.col("page_id") * 37, F.lit(365)).cast("int")).alias("fetched_at")
+    )
+    host = url_filter.host_of(F.col("url"))
+    names = captures.select(
+        F.explode(
+            F.array(
+                host,
+                F.regexp_replace(host, r"^[^.]+\.", ""),
+                F.concat_ws("/", host, F.regexp_extract("url", "^[^:]+://[^/]+/([^/?#]+)", 1)),
+            )
+        ).alias("pattern")
+    ).where("pattern IS NOT NULL").distinct()
+    # Up to three entries for each name whose first checksum digit says so.
+    mark = F.conv(F.substring(F.md5("pattern"), 1, 4), 16, 10).cast("int")
+    dated = names.withColumn("mark", mark).where("mark % 5 < 2").select(
+        "pattern",
+        F.explode(
+            F.array(
+                F.struct(F.when(F.col("mark") % 3 == 0, "allow").otherwise("block").alias("action"),
+                         (F.col("mark") % 200).alias("day")),
+                F.struct(F.lit("remove").alias("action"), (F.col("mark") % 200 + 60).alias("day")),
+                F.struct(F.lit("block").alias("action"), (F.col("mark") % 200 + 60 + F.col("mark") % 97).alias("day")),
+            )
+        ).alias("e"),
+    )
+    return captures, dated.select(
+        "pattern", "e.action", F.date_add(start, F.col("e.day").cast("int")).alias("listed_at")
+    )
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = url_filter.filter_urls(*captures_and_list(spark, sf_dir))
+    return decided.select("page_id", "host", "fetched_at", "blocked", "action", "pattern", "since")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -94,10 +143,86 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 """
 
 
+_OP1 = """
+WITH c AS (
+ SELECT page_id, url, CAST(DATE '2024-01-01' + CAST((page_id*37)%365 AS INT) AS DATE) AS fetched_at,
+  nullif(regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)),
+   '^www\\.', ''), '\\.$', ''), '') AS host,
+  regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
+ FROM pages
+), names AS (
+ SELECT DISTINCT pattern FROM (
+  SELECT host AS pattern FROM c
+  UNION ALL SELECT regexp_replace(host, '^[^.]+\\.', '') FROM c
+  UNION ALL SELECT host || '/' || regexp_extract(url, '^[^:]+://[^/]+/([^/?#]+)', 1) FROM c
+ ) WHERE pattern IS NOT NULL
+), marked AS (
+ SELECT pattern, CAST('0x' || substr(md5(pattern),1,4) AS INT) AS mark FROM names
+), e AS (
+ SELECT pattern, CASE WHEN mark%3=0 THEN 'allow' ELSE 'block' END AS action, mark%200 AS day FROM marked WHERE mark%5<2
+ UNION ALL SELECT pattern, 'remove', mark%200+60 FROM marked WHERE mark%5<2
+ UNION ALL SELECT pattern, 'block', mark%200+60+mark%97 FROM marked WHERE mark%5<2
+), once AS (
+ SELECT pattern, CAST(DATE '2024-01-01' + day AS DATE) AS valid_from, max(action) AS action FROM e GROUP BY ALL
+), spans AS (
+ SELECT *, lead(valid_from) OVER (PARTITION BY pattern ORDER BY valid_from) AS valid_to FROM once
+), keys AS (
+ SELECT page_id, url, fetched_at, array_to_string(l[i:], '.') AS pattern, len(l)-i+1 AS specific
+ FROM (SELECT *, string_split(host,'.') AS l FROM c WHERE host IS NOT NULL),
+  unnest(range(1, greatest(len(l), 2))) AS r(i)
+ UNION ALL
+ SELECT page_id, url, fetched_at, host || '/' || array_to_string(g[:k], '/'), 1000+k
+ FROM (SELECT *, list_filter(string_split(path,'/'), lambda x: x <> '') AS g FROM c WHERE host IS NOT NULL),
+  unnest(range(1, len(g)+1)) AS r(k)
+), best AS (
+ SELECT k.page_id, s.action, s.pattern, s.valid_from AS since,
+  row_number() OVER (PARTITION BY k.page_id ORDER BY k.specific DESC) AS n
+ FROM keys k JOIN spans s ON k.pattern=s.pattern AND s.valid_from<=k.fetched_at
+  AND (s.valid_to IS NULL OR k.fetched_at<s.valid_to)
+ WHERE s.action IN ('block','allow')
+)
+SELECT c.page_id, c.host, c.fetched_at, coalesce(b.action='block', FALSE) AS blocked, b.action, b.pattern, b.since
+FROM c LEFT JOIN best b ON b.page_id=c.page_id AND b.n=1
+"""
+
+
+def _licence_sql() -> str:
+    """The same canonical form in the second engine's functions."""
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def form(x: str) -> str:
+        out = f"regexp_replace(lower({x}), {quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
+        for pattern, into in licenses.SPELLINGS:
+            out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(into.replace('$1', chr(92) + '1'))}, 'g')"
+        return f"trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g'))"
+
+    known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licenses.known_texts())
+    return f"""
+WITH known AS (
+ SELECT {form("t")} AS form, min(license) AS license FROM (VALUES {known}) AS v(license, t) GROUP BY 1
+), units AS (
+ SELECT doc_id, TRUE AS entire, len(string_split(text, chr(10)))<=1 AS single, text AS u FROM documents WHERE text IS NOT NULL
+ UNION ALL
+ SELECT doc_id, FALSE, FALSE, unnest(string_split(text, chr(10))) FROM documents
+ WHERE text IS NOT NULL AND len(string_split(text, chr(10)))>1
+), found AS (
+ SELECT doc_id, max(license) FILTER (entire) AS whole, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+  count(*) FILTER (NOT entire OR single) AS n_notices
+ FROM units JOIN known ON {form("u")}=form WHERE form<>'' GROUP BY doc_id
+)
+SELECT d.doc_id, f.whole, coalesce(f.licenses, '') AS licenses, coalesce(f.n_notices, 0) AS n_notices
+FROM documents d LEFT JOIN found f ON d.doc_id=f.doc_id
+"""
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_decontamination": op2_decontamination,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_license_scan": op4_license_scan,
         "op5_sharding": op5_sharding,
         "op6_line_dedup": op6_line_dedup,
         "op7_jaccard_join": op7_jaccard_join,
@@ -108,4 +233,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def texts() -> dict[str, str]:
-    return {"op3_exact_dedup": _OP3}
+    return {
+        "op1_url_filter": _OP1,
+        "op3_exact_dedup": _OP3,
+        "op4_license_scan": _licence_sql(),
+    }
