@@ -42,7 +42,9 @@ _GROUPS = 32  # groups of frequent shingles
 _SMALL = 2 * _GROUPS  # smaller sets index single shingles only
 _BUCKET_BITS = 22
 _FREQUENT = 64  # a shingle is frequent in a bucket of so many more than the mean
-_SKETCH_WORDS = 8  # 512 bits
+_LEAST_SKETCH, _LARGEST_SKETCH = 512, 1 << 16  # bits
+# Documents whose sets are to be compared are broadcast up to this many (24 bytes each).
+BROADCAST_DOCUMENTS = 1_000_000
 _PART_BITS = 14  # buckets travel in rows of 2**14 counts
 
 
@@ -84,11 +86,24 @@ def _set_id(shingles: np.ndarray) -> int:
     return int.from_bytes(raw, "little", signed=True)
 
 
-def _sketch(shingles: np.ndarray) -> list[int]:
-    """For each of 512 bits, whether an odd number of shingles fell on it."""
-    place = (shingles >> np.uint64(20)) & np.uint64(64 * _SKETCH_WORDS - 1)
-    odd = np.bincount(place.astype(np.int64), minlength=64 * _SKETCH_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+def _sketch(shingles: np.ndarray) -> bytes:
+    """For each of some bits, about two a shingle, whether an odd number fell on it."""
+    bits = _LEAST_SKETCH
+    while bits < 2 * len(shingles) and bits < _LARGEST_SKETCH:
+        bits *= 2
+    place = (shingles >> np.uint64(20)) & np.uint64(bits - 1)
+    odd = np.bincount(place.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded to the shorter."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -109,7 +124,7 @@ def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
                     doc_id=batch.column(0).slice(a, size),
                     n=pa.array([len(s) for s in sets], pa.int32()),
                     sid=pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
-                    sketch=pa.array([_sketch(s) for s in sets], pa.list_(pa.int64())),
+                    sketch=pa.array([_sketch(s) for s in sets], pa.binary()),
                 )
         parts = buckets.astype("<u4").reshape(-1, 1 << _PART_BITS)
         used = np.flatnonzero(parts.any(axis=1))
@@ -121,14 +136,14 @@ def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
             )
 
     return docs.mapInArrow(
-        profile, "doc_id long, n int, sid long, sketch array<long>, part int, counts binary"
+        profile, "doc_id long, n int, sid long, sketch binary, part int, counts binary"
     )
 
 
 _PROFILE = pa.schema(
     [
         ("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()),
-        ("sketch", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary()),
+        ("sketch", pa.binary()), ("part", pa.int32()), ("counts", pa.binary()),
     ]
 )
 
@@ -256,26 +271,34 @@ def _hopeful(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """
     left = sets.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     right = sets.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    differ = F.lit(0)
-    for i in range(_SKETCH_WORDS):
-        differ = differ + F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i]))
     n, d = rule.numerator, rule.denominator
-    return (
+    sized = (
         pairs.join(left, "a")
         .join(right, "b")
-        .where(
-            (F.least("n_a", "n_b") * d >= F.greatest("n_a", "n_b") * n)
-            & (differ * (d + n) <= (F.col("n_a") + F.col("n_b")) * (d - n))
-        )
-        .select("a", "b")
+        .where(F.least("n_a", "n_b") * d >= F.greatest("n_a", "n_b") * n)
+        .select("a", "b", "s_a", "s_b", ((F.col("n_a") + F.col("n_b")) * (d - n)).alias("bound"))
     )
 
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in (2, 3, 4)]
+            good = [
+                i
+                for i, (x, y, bound) in enumerate(zip(*columns, strict=True))
+                if _sketch_distance(x, y) * (d + n) <= bound
+            ]
+            yield batch.take(pa.array(good, pa.int64())).select(["a", "b"])
+
+    return sized.mapInArrow(test, "a long, b long")
+
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that link. Each set is made from the text of its first document, the
     first of a pair is sent to where the second is, a bounded number at a time."""
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = sets.select("sid", "doc_id").join(ends, "sid")
+    wanted = settle(sets.select("sid", "doc_id").join(ends, "sid"))
+    if wanted.count() <= BROADCAST_DOCUMENTS:
+        wanted = F.broadcast(wanted)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
