@@ -20,13 +20,16 @@ def known(text: Column) -> Column:
 
 
 def day_first_time(text: Column) -> Column:
-    """Day-first or ISO text as a zone-free timestamp; anything else is null.
+    """Day-first or ISO text as a zone-free timestamp; anything else is null, a year or
+    a month alone included.
 
     The text is turned into ISO order and cast to a zone-free type, so the
     session time zone (and its daylight-saving gaps) cannot shift a value.
     """
     day_first = r"^\s*(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
-    return F.regexp_replace(text, day_first, "$3-$2-$1").try_cast("timestamp_ntz")
+    iso = F.regexp_replace(text, day_first, "$3-$2-$1")
+    whole_date = iso.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
+    return F.when(whole_date, iso).try_cast("timestamp_ntz")
 
 
 def flag_word(value: Column) -> Column:
@@ -48,13 +51,15 @@ def flag(word: Column, name: str, strict: bool = True) -> Column:
         word.isin(S.FALSE_WORDS), F.lit(False)
     )
     if strict:
-        message = F.concat(F.lit(f"Unexpected boolean values found in '{name}': "), word)
+        message = F.concat(F.lit(f"column '{name}' holds a word that is neither true nor false: "), word)
         result = result.when(word.isNotNull(), F.raise_error(message).cast("boolean"))
     return result
 
 
 def number(value: Column) -> Column:
-    return F.trim(value.cast("string")).try_cast("double")
+    """A decimal number; spellings that only Java knows, such as ``1d``, are null."""
+    text = F.trim(value.cast("string"))
+    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text).try_cast("double")
 
 
 def whole(amount: Column) -> Column:
@@ -218,13 +223,10 @@ def breach_risk_class(rate: Column, threshold: Column) -> Column:
 def bottleneck_class(
     count: Column, rate: Column, count_threshold: Column, rate_threshold: Column
 ) -> Column:
-    busy, risky = count >= count_threshold, rate >= rate_threshold
-    return (
-        F.when(busy & risky, "Critical Bottleneck")
-        .when(busy & (rate < rate_threshold), "Volume Bottleneck")
-        .when((count < count_threshold) & risky, "SLA Risk")
-        .otherwise("Lower Priority")
-    )
+    risky = rate >= rate_threshold
+    of_busy = F.when(risky, "Critical Bottleneck").otherwise("Volume Bottleneck")
+    of_quiet = F.when(risky, "SLA Risk").otherwise("Lower Priority")
+    return F.when(count >= count_threshold, of_busy).otherwise(of_quiet)
 
 
 def driver_segment(label: Column) -> Column:
@@ -239,7 +241,7 @@ def require_columns(df: DataFrame, names: list[str], what: str = "dataset") -> N
     """Fail, naming them, when input columns are missing. Looks at the schema only."""
     missing = [name for name in names if name not in df.columns]
     if missing:
-        raise ValueError(f"Required columns missing from {what}: " + ", ".join(missing))
+        raise ValueError(f"{what} lacks columns: " + ", ".join(missing))
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

@@ -65,7 +65,9 @@ def exact_percentiles(
         )
 
     cells = (
-        measured.where(F.col("_v").isNotNull())
+        # Both readers of the cells must see the same filters, else nothing is reused:
+        # the join on the range adds "the range is not null" to one of them.
+        measured.where(F.col("_v").isNotNull() & _value_range(F.col("_v")).isNotNull())
         .groupBy("_g", "_m", "_v")
         .agg(F.sum("_w").alias("_n"))
         .withColumn("_r", _value_range(F.col("_v")))

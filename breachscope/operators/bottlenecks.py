@@ -42,7 +42,7 @@ def bottlenecks(groups: DataFrame, strict: bool = False) -> DataFrame:
     E.require_columns(groups, ["assignment_group", *_FIGURES, "eligible_for_comparison"])
     eligible = groups.where("eligible_for_comparison").select("assignment_group", *_FIGURES)
     if strict:
-        E.require_rows(eligible, "No assignment groups are eligible for bottleneck analysis.")
+        E.require_rows(eligible, "no group is large enough to be classified")
     row = thresholds(eligible).select(F.struct("volume_threshold", "breach_rate_threshold").alias("_t"))
     count, rate = F.col("incident_count"), F.col("breach_rate")
     count_at, rate_at = F.col("_t.volume_threshold"), F.col("_t.breach_rate_threshold")
@@ -82,10 +82,10 @@ def drivers(groups: DataFrame, classified: DataFrame, strict: bool = False) -> D
     )
     result = eligible.join(classes, "assignment_group", "left")
     if strict:
-        E.require_rows(eligible, "No assignment groups are eligible for driver analysis.")
+        E.require_rows(eligible, "no group is large enough to look for drivers")
         if not result.where(F.col("bottleneck_class").isNull()).isEmpty():
             raise AssertionError(
-                "Some eligible assignment groups are missing bottleneck classifications."
+                "a group that is large enough has no class"
             )
     return result.select(
         "assignment_group",

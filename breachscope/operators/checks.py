@@ -577,14 +577,12 @@ def v10_priority(result: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def expected_bucket(count: Column) -> Column:
-    """The bucket a count must have; negative and unknown counts have none."""
-    return (
-        F.when(count == 0, "0")
-        .when(count.between(1, 2), "1-2")
-        .when(count.between(3, 5), "3-5")
-        .when(count >= 6, "6+")
-        .otherwise("INVALID")
-    )
+    """The bucket a count must have; null for negative and unknown counts."""
+    bucket = F.lit(None).cast("string")
+    for name, (low, high) in S.BUCKET_LIMITS.items():
+        inside = count >= low if high is None else count.between(low, high)
+        bucket = F.when(inside, name).otherwise(bucket)
+    return bucket
 
 
 def v11_reassignment(result: DataFrame, source: DataFrame) -> DataFrame:
@@ -599,7 +597,10 @@ def v11_reassignment(result: DataFrame, source: DataFrame) -> DataFrame:
             [
                 Rule(
                     "bucket_definition",
-                    rows_where(bucket != expected_bucket(F.col("reassignment_count"))),
+                    rows_where(
+                        bucket.isNotNull()
+                        & ~bucket.eqNullSafe(expected_bucket(F.col("reassignment_count")))
+                    ),
                     "stored buckets follow the reassignment count",
                 )
             ],
@@ -866,4 +867,16 @@ def v14_load(
         compared.append(
             Rule("row_count", differs_by(F.col("rows"), expected), "expected number of rows")
         )
+    per_number = table.groupBy("number").agg(F.count("*").alias("n"))
+    repeated = F.sum(F.when(F.col("number").isNotNull(), F.col("n") - 1))
+    missing = F.sum(F.when(F.col("number").isNull(), F.col("n")))
+    keys = per_number.agg(
+        F.struct(
+            F.coalesce(repeated, F.lit(0)).alias("repeated"), F.coalesce(missing, F.lit(0)).alias("missing")
+        )
+    ).scalar()
+    compared += [
+        Rule("duplicate_numbers", keys.getField("repeated"), "no number stands in two rows"),
+        Rule("missing_numbers", keys.getField("missing"), "every row has a number"),
+    ]
     return evaluate(table, [], {"rows": F.count("*")}, None, compared)

@@ -94,12 +94,13 @@ def event_order(events: DataFrame) -> Column:
     """Sort key of an event within its incident.
 
     Later updates come later, an update without a time comes last of all, and
-    equal times follow the order of the log.
+    equal times follow the order of the log. Without that order the event chosen
+    among equal times would depend on the run, so it is required.
     """
-    parts = [F.col("sys_updated_at").isNull().alias("untimed"), F.col("sys_updated_at")]
-    if ROW_ORDER in events.columns:
-        parts.append(F.col(ROW_ORDER))
-    return F.struct(*parts)
+    E.require_columns(events, [ROW_ORDER], "event log without an order of its rows")
+    return F.struct(
+        F.col("sys_updated_at").isNull().alias("untimed"), F.col("sys_updated_at"), F.col(ROW_ORDER)
+    )
 
 
 def collapse_events(events: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

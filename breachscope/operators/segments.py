@@ -32,10 +32,17 @@ def _measures() -> dict[str, Column]:
 
 
 def segment_counts(
-    incidents: DataFrame, key: str, measures: Sequence[str], unique_numbers: bool = False
+    incidents: DataFrame,
+    key: str,
+    measures: Sequence[str],
+    unique_numbers: bool = False,
+    percentiles: bool = True,
 ) -> DataFrame:
     """The plain measures per non-null ``key``, with median and p90 hours.
 
+    ``percentiles=False`` leaves the two columns null and saves their passes, for
+    readers that show neither.
+
     Incidents are counted once each. ``unique_numbers`` states that the input
     has one row per incident (the collapse guarantees it and check ``v01``
     verifies it), which saves the extra shuffle on ``(key, number)``.
@@ -55,6 +62,8 @@ def segment_counts(
             "incident_count", F.coalesce("_distinct", F.lit(0))
         )
         summary = summary.drop("_distinct")
+    if not percentiles:
+        return summary.withColumns({name: F.lit(None).cast("double") for name in _HOURS})
     return with_percentiles(summary, keyed, [key], _HOURS)
 
 
@@ -97,20 +106,23 @@ def sla_category(
     incidents: DataFrame,
     min_sample: int = S.MIN_SEGMENT_SAMPLE,
     unique_numbers: bool = False,
+    percentiles: bool = True,
 ) -> DataFrame:
     E.require_columns(incidents, [*_REQUIRED, "category"])
     measures = ["incident_count", "sla_breaches", "reassigned_incidents", "mean_reassignment_count"]
-    summary = segment_counts(incidents, "category", measures, unique_numbers)
+    summary = segment_counts(incidents, "category", measures, unique_numbers, percentiles)
     summary = summary.select(
         "category", "incident_count", "sla_breaches", *_HOURS, *measures[2:]
     )
     return _worst_first(add_sla_rates(summary, reassigned=True, min_sample=min_sample), "category")
 
 
-def sla_priority(incidents: DataFrame, unique_numbers: bool = False) -> DataFrame:
+def sla_priority(
+    incidents: DataFrame, unique_numbers: bool = False, percentiles: bool = True
+) -> DataFrame:
     E.require_columns(incidents, [*_REQUIRED, "priority"])
     measures = ["incident_count", "sla_breaches", "reassigned_incidents", "mean_reassignment_count"]
-    summary = segment_counts(incidents, "priority", measures, unique_numbers)
+    summary = segment_counts(incidents, "priority", measures, unique_numbers, percentiles)
     summary = summary.select(
         "priority", "incident_count", "sla_breaches", *_HOURS, *measures[2:]
     )
@@ -119,10 +131,14 @@ def sla_priority(incidents: DataFrame, unique_numbers: bool = False) -> DataFram
     )
 
 
-def sla_reassignment(incidents: DataFrame, unique_numbers: bool = False) -> DataFrame:
+def sla_reassignment(
+    incidents: DataFrame, unique_numbers: bool = False, percentiles: bool = True
+) -> DataFrame:
     E.require_columns(incidents, [*_REQUIRED, "reassignment_bucket"])
     measures = ["incident_count", "sla_breaches", "mean_reassignment_count"]
-    summary = segment_counts(incidents, "reassignment_bucket", measures, unique_numbers)
+    summary = segment_counts(
+        incidents, "reassignment_bucket", measures, unique_numbers, percentiles
+    )
     summary = summary.select(
         "reassignment_bucket", "incident_count", "sla_breaches", *_HOURS, *measures[2:]
     )
@@ -154,6 +170,7 @@ def sla_assignment_group(
     incidents: DataFrame,
     min_sample: int = S.MIN_SEGMENT_SAMPLE,
     unique_numbers: bool = False,
+    percentiles: bool = True,
 ) -> DataFrame:
     E.require_columns(incidents, [*_REQUIRED, "assignment_group", "resolved_at"])
     measures = [
@@ -164,7 +181,7 @@ def sla_assignment_group(
         "reassigned_incidents",
         "mean_reassignment_count",
     ]
-    summary = segment_counts(incidents, "assignment_group", measures, unique_numbers)
+    summary = segment_counts(incidents, "assignment_group", measures, unique_numbers, percentiles)
     summary = summary.select("assignment_group", *measures[:4], *_HOURS, *measures[4:])
     return _worst_first(
         add_sla_rates(summary, reassigned=True, resolved=True, min_sample=min_sample),

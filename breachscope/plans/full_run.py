@@ -105,9 +105,26 @@ def run_all(
     return stored
 
 
+# Bytes of the log for each shuffle partition. Adaptive execution merges small
+# partitions but never splits one for an aggregate, so there must be enough at the start.
+PARTITION_BYTES = 192 << 20
+
+
+def shuffle_partitions(spark: SparkSession, path: str, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Shuffle partitions for the files under ``path``: one for so many bytes, and no
+    fewer than the session has."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(target).getLength()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // partition_bytes))
+
+
 def main(argv: list[str]) -> None:
-    events_csv, out = argv
+    events_csv, out, *partitions = argv
     spark = SparkSession.builder.appName("breachscope").config(*CODE_SIZE_SETTING).getOrCreate()
+    count = int(partitions[0]) if partitions else shuffle_partitions(spark, events_csv)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
     run_all(read_event_log(spark, events_csv), out, partition_by=("opened_year",))
 
 

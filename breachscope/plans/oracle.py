@@ -381,6 +381,8 @@ def _check_texts() -> dict[str, str]:
                     ("negative_closure!warning", "closure_time_hours<0"),
                     ("duplicate_numbers", "=" + distinct.format("number")),
                     ("row_count", f"=abs(count(*) - {expected})"),
+                    ("duplicate_numbers", "=count(number) - count(DISTINCT number)"),
+                    ("missing_numbers", "=count(*) - count(number)"),
                     ("number_count", f"=abs(count(DISTINCT number) - {expected})"),
                 ],
             ),
@@ -594,6 +596,8 @@ def _check_texts() -> dict[str, str]:
                     ("header", "=0*count(*)"),
                     ("types", "=0*count(*)"),
                     ("row_count", f"=abs(count(*) - {expected})"),
+                    ("duplicate_numbers", "=count(number) - count(DISTINCT number)"),
+                    ("missing_numbers", "=count(*) - count(number)"),
                 ],
             ),
         ),
@@ -667,6 +671,18 @@ def texts() -> dict[str, str]:
         "read_event_log": _EVENTS + _all(
             "ev", {**{c: c for c in ["number", *clock, "made_sla", "active", *counters, "priority", "category",
                                      "assignment_group"]}, "location": "CAST(NULL AS VARCHAR)"}),
+        "several_log_files": _INCIDENTS + """
+SELECT number, sys_updated_at, made_sla, reassignment_count,
+ CASE WHEN line=1 THEN nullif(d.text, '') END AS u_symptom
+FROM inc LEFT JOIN documents d
+ ON d.doc_id = CAST(substr(number, 4) AS BIGINT) % (SELECT count(*) FROM documents)
+""",
+        "load_free_text": """
+SELECT concat('DOC', CAST(doc_id AS VARCHAR)) AS number, nullif(text, '') AS u_symptom FROM documents
+""",
+        "report_free_text": """
+SELECT concat('DOC', CAST(doc_id AS VARCHAR)) AS number, text AS u_symptom FROM documents
+""",
         "write_incidents": _inc(_pick(*_ROUND_TRIP)),
         "load_incidents_table": _inc(_pick(*_ROUND_TRIP)),
         "read_incidents_csv": _inc(_pick(*_ROUND_TRIP)),

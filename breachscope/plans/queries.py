@@ -24,6 +24,7 @@ from breachscope.operators import sql_reports as Q
 from breachscope.session import settle, work_path
 from breachscope.sources import incidents as I
 from breachscope.sources import mapping as M
+from breachscope.sources.csv_format import WRITE_OPTIONS
 from breachscope.sources.events import read_event_log
 from breachscope.sources.reports import write_report
 
@@ -83,12 +84,12 @@ def _last_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------- shared pieces
 
 
-def _groups(incidents: DataFrame) -> DataFrame:
-    return G.sla_assignment_group(incidents, **_ONCE)
+def _groups(incidents: DataFrame, percentiles: bool = True) -> DataFrame:
+    return G.sla_assignment_group(incidents, **_ONCE, percentiles=percentiles)
 
 
-def _categories(incidents: DataFrame) -> DataFrame:
-    return G.sla_category(incidents, **_ONCE)
+def _categories(incidents: DataFrame, percentiles: bool = True) -> DataFrame:
+    return G.sla_category(incidents, **_ONCE, percentiles=percentiles)
 
 
 def _on_groups(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -135,10 +136,10 @@ def _concentration(scores: DataFrame) -> DataFrame:
 
 def _segment_tables(incidents: DataFrame) -> dict[str, DataFrame]:
     return {
-        "category": settle(_categories(incidents)),
-        "priority": settle(G.sla_priority(incidents, **_ONCE)),
-        "reassignment": settle(G.sla_reassignment(incidents, **_ONCE)),
-        "group": settle(_groups(incidents)),
+        "category": settle(_categories(incidents, False)),
+        "priority": settle(G.sla_priority(incidents, **_ONCE, percentiles=False)),
+        "reassignment": settle(G.sla_reassignment(incidents, **_ONCE, percentiles=False)),
+        "group": settle(_groups(incidents, False)),
     }
 
 
@@ -154,7 +155,7 @@ def _merged_reference(incidents: DataFrame) -> DataFrame:
 
 def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark)
-    M.raw_event_log(spark, sf_dir).drop(L.ROW_ORDER).write.option("header", True).csv(path)
+    M.raw_event_log(spark, sf_dir).drop(L.ROW_ORDER).write.options(**WRITE_OPTIONS).csv(path)
     log = read_event_log(spark, path)
     return L.type_events(log).select(
         "number", *S.EVENT_TIMES, *S.EVENT_FLAGS, *S.EVENT_COUNTERS, *S.FACTOR_COLUMNS[:1],
@@ -162,6 +163,52 @@ def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _several_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as several files in two column orders, with free text in a column, read
+    and collapsed. The text of a first event is that of a document."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    count = documents.agg(F.count("*").alias("n")).scalar()
+    order = F.substring("number", 4, 20).cast("bigint")
+    first = F.col(f"{L.ROW_ORDER}.l_linenumber") == 1
+    log = M.raw_event_log(spark, sf_dir).withColumn("_doc", F.when(first, F.pmod(order, count)))
+    texts = documents.select(F.col("doc_id").alias("_doc"), "text")
+    log = log.join(texts, "_doc", "left").withColumn("u_symptom", F.coalesce("text", F.lit("?")))
+    log = log.repartition(6, "number").sortWithinPartitions(L.ROW_ORDER)
+    path = work_path(spark)
+    even = F.pmod(order, F.lit(2)) == 0
+    names = S.RAW_COLUMNS
+    for half, columns in ((even, names), (~even, [*reversed(names)])):
+        log.where(half).select(columns).write.mode("append").options(**WRITE_OPTIONS).csv(path)
+    collapsed = L.clean_incidents(
+        read_event_log(spark, path), ["sys_updated_at", "made_sla", "reassignment_count", "u_symptom"]
+    )
+    return collapsed.select("number", "sys_updated_at", "made_sla", "reassignment_count", "u_symptom")
+
+
+def _document_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incident table that holds the documents as free text."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    given = {"number": F.concat(F.lit("DOC"), F.col("doc_id").cast("string")), "u_symptom": F.col("text")}
+    return documents.select(
+        *[
+            given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in S.INCIDENT_SCHEMA
+        ]
+    )
+
+
+def _loaded_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    csv_path, table_path = work_path(spark), work_path(spark)
+    rows = I.write_incidents(_document_incidents(spark, sf_dir), csv_path, "csv")
+    I.load_incidents_table(spark, csv_path, table_path, expected_rows=rows)
+    return I.read_incidents(spark, table_path).select("number", "u_symptom")
+
+
+def _report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _document_incidents(spark, sf_dir).select("number", "u_symptom")
+    return write_report(table, work_path(spark), "priority_sla_performance", "csv")
+
+
 _ROUND_TRIP = [
     "opened_at", "resolved_at", "closed_at", _HOURS, "closure_time_hours", "made_sla",
     "sla_breached", "reassignment_count", "reassignment_bucket", "reopen_count", "reopened",
@@ -330,6 +377,9 @@ def registry() -> dict[str, Query]:
     return {
         # sources and sinks
         "read_event_log": _csv_log,
+        "several_log_files": _several_files,
+        "load_free_text": _loaded_text,
+        "report_free_text": _report_text,
         "write_incidents": _stored_table,
         "load_incidents_table": _loaded_table,
         "read_incidents_csv": _loaded_csv,
@@ -456,21 +506,21 @@ def registry() -> dict[str, Query]:
         ),
         "sla_assignment_group": _on(_GROUP, _groups, settled=True),
         "category_top10_rate": _on(
-            [*_SLA, "category"], lambda i: G.top10_rate(_categories(i)), settled=True
+            [*_SLA, "category"], lambda i: G.top10_rate(_categories(i, False)), settled=True
         ),
         "category_top10_breaches": _on(
-            [*_SLA, "category"], lambda i: G.top10_breaches(_categories(i)), settled=True
+            [*_SLA, "category"], lambda i: G.top10_breaches(_categories(i, False)), settled=True
         ),
         "category_top10_median": _on(
             [*_SLA, "category"], lambda i: G.top10_median(_categories(i)), settled=True
         ),
-        "group_top10_rate": _on(_GROUP, lambda i: G.top10_rate(_groups(i)), settled=True),
-        "group_top10_breaches": _on(_GROUP, lambda i: G.top10_breaches(_groups(i)), settled=True),
+        "group_top10_rate": _on(_GROUP, lambda i: G.top10_rate(_groups(i, False)), settled=True),
+        "group_top10_breaches": _on(_GROUP, lambda i: G.top10_breaches(_groups(i, False)), settled=True),
         "group_top10_median": _on(_GROUP, lambda i: G.top10_median(_groups(i)), settled=True),
         "segment_counts_category": _on(
-            [*_SLA, "category"], lambda i: G.segment_totals(_categories(i)), settled=True
+            [*_SLA, "category"], lambda i: G.segment_totals(_categories(i, False)), settled=True
         ),
-        "segment_counts_group": _on(_GROUP, lambda i: G.segment_totals(_groups(i)), settled=True),
+        "segment_counts_group": _on(_GROUP, lambda i: G.segment_totals(_groups(i, False)), settled=True),
         "missing_group_share": _on(["assignment_group"], G.missing_group_share),
         # bottlenecks
         "bottlenecks": _on_groups(_classified),

@@ -101,7 +101,9 @@ PRIORITY_LEVELS = {
     "3 - Moderate": "Moderate",
     "4 - Low": "Low",
 }
-BUCKETS = ["0", "1-2", "3-5", "6+"]
+# Limits of the reassignment buckets, both inclusive.
+BUCKET_LIMITS = {"0": (0, 0), "1-2": (1, 2), "3-5": (3, 5), "6+": (6, None)}
+BUCKETS = list(BUCKET_LIMITS)
 RISK_BANDS = ["Low", "Moderate", "High", "Critical"]
 BOTTLENECK_CLASSES = ["Critical Bottleneck", "Volume Bottleneck", "SLA Risk", "Lower Priority"]
 UNKNOWN = "Unknown"

@@ -1,37 +1,45 @@
-"""The raw event log as a CSV export."""
+"""The raw event log as CSV exports."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from breachscope import schema as S
 from breachscope.operators.cleaning import ROW_ORDER, null_tokens
+from breachscope.sources.csv_format import file_headers, read_text_columns
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names as they stand in the file. Reads the first line only."""
-    return spark.read.option("header", True).csv(path).columns
-
-
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
+def read_event_log(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """All columns as text, "no value" tokens as null, plus the order of the rows.
 
-    Columns are taken in file order; none is guessed. The order key is the place
-    of a row in its file: the split it came from and its position there.
+    Columns are taken by name from the header of each file: files of one log may order
+    them differently, but all must have the same ones. The order key is the place of a
+    row: its file by name, the split it came from and its position there. ``multiline``
+    is explained in ``csv_format``.
     """
-    names = csv_header(spark, path)
-    missing = {"number", "sys_updated_at", *S.EVENT_COUNTERS} - set(names)
-    if missing:
-        raise ValueError("Required columns missing from event log: " + ", ".join(sorted(missing)))
-    schema = S.T.StructType([S.T.StructField(n, S.T.StringType()) for n in names])
-    raw = spark.read.schema(schema).option("header", True).csv(path)
-    placed = raw.select(
-        *names,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(ROW_ORDER),
-    )
-    return null_tokens(placed)
+    headers = file_headers(spark, path)
+    parts = []
+    wanted = list(next(iter(headers)))
+    for names, files in headers.items():
+        missing = {"number", "sys_updated_at", *S.EVENT_COUNTERS} - set(names)
+        if missing:
+            raise ValueError("event log lacks columns: " + ", ".join(sorted(missing)))
+        if set(names) != set(wanted) or len(names) != len(wanted):
+            odd = sorted(set(names) ^ set(wanted)) or ["a repeated name"]
+            raise ValueError(f"files of the log differ in columns ({', '.join(odd)}): {files[0]}")
+        source = path if len(headers) == 1 else files
+        raw = read_text_columns(spark, source, list(names), multiline)
+        parts.append(
+            raw.select(
+                *wanted,
+                F.struct(
+                    F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"),
+                ).alias(ROW_ORDER),
+            )
+        )
+    return null_tokens(reduce(DataFrame.unionByName, parts))

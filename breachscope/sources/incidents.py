@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from breachscope import schema as S
 from breachscope.functions import expressions as E
-from breachscope.sources.events import csv_header
+from breachscope.sources.csv_format import WRITE_OPTIONS, read_text_columns, single_header
+from breachscope.sources.replace import remove, sibling, swap_in
 
 # Columns the service-level reports cannot do without.
 REPORT_COLUMNS = [
@@ -26,13 +27,10 @@ REPORT_COLUMNS = [
 ]
 
 
-def write_incidents(
-    incidents: DataFrame,
-    path: str,
-    file_format: str = "parquet",
-    partition_by: Sequence[str] = (),
+def _write_new(
+    incidents: DataFrame, path: str, file_format: str, partition_by: Sequence[str]
 ) -> int:
-    """Write the incidents and return how many rows were written.
+    """Write to a new folder and return how many rows were written.
 
     The count is observed during the write. With ``partition_by`` the rows are
     rebalanced first: files get an even size, and a partition value that holds
@@ -43,16 +41,37 @@ def write_incidents(
     writer = counted
     if partition_by:
         writer = counted.hint("rebalance", *partition_by)
-    output = writer.write.mode("overwrite")
+    output = writer.write.mode("errorifexists")
     if partition_by:
         output = output.partitionBy(*partition_by)
     if file_format == "csv":
-        output.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        output.options(**WRITE_OPTIONS).csv(path)
     else:
         output.format(file_format).save(path)
     return observed.get["rows"]
 
 
+def write_incidents(
+    incidents: DataFrame,
+    path: str,
+    file_format: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> int:
+    """Write the incidents and return how many rows were written.
+
+    A table that is there already is replaced only once the new one is complete.
+    """
+    spark = incidents.sparkSession
+    staged = sibling(path, "new")
+    try:
+        rows = _write_new(incidents, staged, file_format, partition_by)
+    except Exception:
+        remove(spark, staged)
+        raise
+    swap_in(spark, staged, path)
+    return rows
+
+
 def read_incidents(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
     """The stored table. Sorting is for presentation and costs a global sort."""
     table = spark.read.schema(S.INCIDENT_SCHEMA).parquet(path).select(*S.INCIDENT_COLUMNS)
@@ -61,11 +80,10 @@ def read_incidents(spark: SparkSession, path: str, ordered: bool = False) -> Dat
 
 def check_header(spark: SparkSession, path: str) -> list[str]:
     """Fail unless the CSV at ``path`` has exactly the fixed columns in order."""
-    names = csv_header(spark, path)
+    names = single_header(spark, path)
     if names != S.INCIDENT_COLUMNS:
         raise ValueError(
-            "Input CSV schema does not match the expected incident schema. "
-            f"Expected columns: {S.INCIDENT_COLUMNS}. Actual columns: {names}"
+            f"not an incident table: the header of {path} is {names}, but must be {S.INCIDENT_COLUMNS}"
         )
     return names
 
@@ -86,18 +104,18 @@ def _typed(text: Column, field: S.T.StructField) -> Column:
 
 
 def read_incidents_csv(
-    spark: SparkSession, path: str, required: Sequence[str] = tuple(REPORT_COLUMNS)
+    spark: SparkSession,
+    path: str,
+    required: Sequence[str] = tuple(REPORT_COLUMNS),
+    multiline: bool = True,
 ) -> DataFrame:
     """A cleaned CSV with its types. Empty fields are null; dates may be ISO or
     day-first. Columns outside the fixed list stay text."""
-    names = csv_header(spark, path)
+    names = single_header(spark, path)
     missing = [name for name in required if name not in names]
     if missing:
-        raise ValueError("Required columns missing from dataset: " + ", ".join(missing))
-    texts = S.T.StructType([S.T.StructField(name, S.T.StringType()) for name in names])
-    raw = (
-        spark.read.schema(texts).option("header", True).option("enforceSchema", False).csv(path)
-    )
+        raise ValueError(f"{path} lacks columns: " + ", ".join(missing))
+    raw = read_text_columns(spark, path, names, multiline)
     fields = {field.name: field for field in S.INCIDENT_SCHEMA}
     columns = []
     for name in names:
@@ -107,24 +125,45 @@ def read_incidents_csv(
     return raw.select(*columns)
 
 
+def key_faults(table: DataFrame) -> tuple[int, int]:
+    """Rows beyond the first of each number, and rows without a number."""
+    per_number = table.groupBy("number").agg(F.count("*").alias("n"))
+    row = per_number.agg(
+        F.sum(F.when(F.col("number").isNotNull(), F.col("n") - 1)).alias("repeated"),
+        F.sum(F.when(F.col("number").isNull(), F.col("n"))).alias("missing"),
+    ).first()
+    return row["repeated"] or 0, row["missing"] or 0
+
+
 def load_incidents_table(
     spark: SparkSession,
     csv_path: str,
     table_path: str,
     expected_rows: int | None = None,
     partition_by: Sequence[str] = (),
+    multiline: bool = True,
 ) -> int:
-    """Replace the stored table by the content of a cleaned CSV.
+    """Replace the stored table by the content of a cleaned CSV, as a whole or not at all.
 
-    Checks the header first, fails on a value that does not fit its column, and
-    compares the number of rows written with ``expected_rows`` when given.
+    The new table is written next to the old one and takes its place only when the
+    header is right, every value fits its column, every row has a number of its own
+    and, where given, the number of rows is ``expected_rows``.
     """
     names = check_header(spark, csv_path)
-    rows = write_incidents(
-        read_incidents_csv(spark, csv_path, names), table_path, partition_by=partition_by
-    )
-    if expected_rows is not None and rows != expected_rows:
-        raise ValueError(
-            f"Unexpected incident row count after loading: expected {expected_rows:,}, found {rows:,}"
+    staged = sibling(table_path, "new")
+    try:
+        rows = _write_new(
+            read_incidents_csv(spark, csv_path, names, multiline), staged, "parquet", partition_by
         )
+        if expected_rows is not None and rows != expected_rows:
+            raise ValueError(f"{csv_path} holds {rows:,} incidents instead of {expected_rows:,}")
+        repeated, missing = key_faults(spark.read.schema(S.INCIDENT_SCHEMA).parquet(staged))
+        if repeated or missing:
+            raise ValueError(
+                f"{csv_path} is no table of incidents: {repeated:,} repeated and {missing:,} missing numbers"
+            )
+    except Exception:
+        remove(spark, staged)
+        raise
+    swap_in(spark, staged, table_path)
     return rows

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from breachscope.sources.csv_format import WRITE_OPTIONS, read_options
+
 # Names of the published reports.
 REPORTS = [
     "monthly_operational_performance",
@@ -33,7 +35,7 @@ def write_report(df: DataFrame, folder: str, name: str, file_format: str = "parq
     writer = df.write.mode("overwrite")
     path = f"{folder}/{name}"
     if file_format == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**WRITE_OPTIONS).csv(path)
     else:
         writer.format(file_format).save(path)
     return read_report(df.sparkSession, folder, name, df.schema, file_format)
@@ -49,5 +51,5 @@ def read_report(
     _check_name(name)
     reader = spark.read.schema(schema)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**read_options())
     return reader.format(file_format).load(f"{folder}/{name}")

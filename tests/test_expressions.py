@@ -98,3 +98,13 @@ def test_concentration_shares_are_of_surviving_pairs(spark):
     total = sum(r["sla_breached_incidents"] for r in rows)
     for row in rows:
         assert row["share_of_all_breaches_pct"] == pytest.approx(100 * row["sla_breached_incidents"] / total, abs=0.0051)
+
+
+def test_numbers_and_dates_take_no_spelling_of_other_languages(spark):
+    texts = ["1", " 2.5 ", "1d", "1f", "0x1", "1e3", ".5", "NaN", ""]
+    row = spark.createDataFrame([(t,) for t in texts], "t string").select(E.number(F.col("t")).alias("n"))
+    assert [r["n"] for r in row.collect()] == [1.0, 2.5, None, None, None, 1000.0, 0.5, None, None]
+    days = ["2016", "2016-03", "3/2/2016 04:05", "2016-02-03 04:05:00"]
+    row = spark.createDataFrame([(t,) for t in days], "t string").select(E.day_first_time(F.col("t")).alias("d"))
+    first, second, third, fourth = [r["d"] for r in row.collect()]
+    assert first is None and second is None and third == fourth is not None

@@ -74,3 +74,19 @@ def test_several_columns_and_keys(spark):
         w = [r[3] for r in rows if r[:2] == (row["a"], row["b"])]
         assert row["mv"] == pytest.approx(np.median(v))
         assert (row["mw"], row["pw"]) == pytest.approx((np.median(w), np.percentile(w, 90)))
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_input_is_read_once_and_the_cells_are_reused(spark, tmp_path, threshold):
+    path = str(tmp_path / "v")
+    spark.range(20_000).selectExpr("id % 7 AS k", "cast(id * 37 % 1009 AS double) AS v").write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = exact_percentiles(spark.read.parquet(path), ["k"], {"m": ("v", 0.5), "p": ("v", 0.9)})
+        assert found.count() == 7
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
