@@ -60,14 +60,12 @@ def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
     lanes run into each other; equal lines have equal hashes there, too.
     """
     norm = F.array_join("words", " ")
-    words = _lines(docs, min_words).select(
-        "doc_id",
-        "body",
-        "pos",
-        F.xxhash64(norm).alias("d1"),
-        F.xxhash64(F.lit(1), norm).alias("d2"),
-        F.explode("words").alias("word"),
+    # The digest has a projection of its own below the explode, not above it, where it
+    # would be computed for every word.
+    lines = _lines(docs, min_words).withColumns(
+        {"d1": F.xxhash64(norm), "d2": F.xxhash64(F.lit(1), norm)}
     )
+    words = lines.select("doc_id", "body", "pos", "d1", "d2", F.explode("words").alias("word"))
     hashed = words.withColumn("h", F.xxhash64("word"))
     mask = F.lit(_LANES).cast("bigint")
     summed = hashed.groupBy("doc_id", "body", "pos", "d1", "d2").agg(
