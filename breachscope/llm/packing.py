@@ -73,8 +73,6 @@ class UnitEncoder:
         return ids[ids != self._sentinel_id].astype(np.uint16), counts
 
     def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
-        if len(self._hashes) > _CACHED_UNITS:
-            self._forget()
         ids, counts = self._encode(units)
         starts = self._pooled + np.cumsum(counts) - counts
         self._pool.append(ids)
@@ -102,6 +100,8 @@ class UnitEncoder:
         ends = np.sort(np.concatenate((words.ends, cut + 1)))
         hashes = kernel.Prefix(data).spans(starts, ends)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self._hashes) > _CACHED_UNITS:
+            self._forget()
         at, known = self._find(distinct)
         if not known.all():
             new = np.flatnonzero(~known)
@@ -110,16 +110,7 @@ class UnitEncoder:
                 raw[a:b].decode("utf-8", "replace")
                 for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
             ]
-            before = len(self._hashes)
             self._learn(distinct[new], units)
-            if len(self._hashes) < before:  # the cache was emptied: learn the others again
-                old = np.flatnonzero(known)
-                units = [
-                    raw[a:b].decode("utf-8", "replace")
-                    for a, b in zip(starts[first[old]].tolist(), ends[first[old]].tolist(), strict=True)
-                ]
-                if units:
-                    self._learn(distinct[old], units)
             at, known = self._find(distinct)
         if len(self._pool) > 1:
             self._pool = [np.concatenate(self._pool)]

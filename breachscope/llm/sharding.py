@@ -50,8 +50,8 @@ def rebalanced_map(old: SlotMap, slot_bytes: Sequence[int], shards: int) -> Slot
     """The next version of a map for new sizes or another number of shards.
 
     Slots of shards that no longer exist are dealt out first. Then each shard
-    above the mean gives slots to the emptiest shard as long as that lowers the
-    larger of the two; all other slots stay where they are.
+    above the mean gives slots, the largest first, to the emptiest shard, where that
+    brings both nearer to the mean; all other slots stay where they are.
     """
     shard_of = list(old.shard_of)
     held = [0] * shards
@@ -74,15 +74,16 @@ def rebalanced_map(old: SlotMap, slot_bytes: Sequence[int], shards: int) -> Slot
 
     for v in sorted(homeless, key=lambda v: (-slot_bytes[v], v)):
         give(v)
+    mean = sum(held) / shards
     for s in sorted(range(shards), key=lambda s: (-held[s], s)):
         for v in sorted(members[s], key=lambda v: (-slot_bytes[v], v)):
             while heap[0][0] != held[heap[0][1]]:  # entry of a shard that has given since
                 _, stale = heapq.heappop(heap)
                 heapq.heappush(heap, (held[stale], stale))
             size, target = heap[0]
-            if target == s:
+            if target == s or held[s] <= mean:
                 break
-            if slot_bytes[v] and size + slot_bytes[v] < held[s]:
+            if 0 < slot_bytes[v] <= 2 * min(held[s] - mean, mean - size):
                 held[s] -= slot_bytes[v]
                 give(v)
     return SlotMap(old.version + 1, shards, tuple(shard_of))
