@@ -4,8 +4,9 @@ Every pair of documents whose shingle sets reach the threshold is connected, exa
 
 1. One pass makes a row per document: set size, a digest of the set, a parity sketch,
    and counts of all shingles in hashed buckets. Equal sets are one class from here.
-2. The buckets that hold many shingles mark the frequent ones. They come last in the
-   global order, so a prefix holds rare shingles as far as there are any.
+2. The number of shingles in a bucket gives each shingle a level of frequency. Rare
+   ones come first in the global order, so a prefix holds them as far as there are any,
+   and shingles of a shared passage enter it only where a document has little else.
 3. A set of ``n`` shingles that must share ``t`` with a partner can miss ``n - t`` of
    its own. A rare shingle of the prefix is indexed alone; frequent ones are dealt into
    groups by hash, and of each group the pairs are indexed. The prefix is extended
@@ -46,6 +47,7 @@ _LEAST_SKETCH, _LARGEST_SKETCH = 512, 1 << 16  # bits
 # Documents whose sets are to be compared are broadcast up to this many (24 bytes each).
 BROADCAST_DOCUMENTS = 1_000_000
 _PART_BITS = 14  # buckets travel in rows of 2**14 counts
+_FREQUENT_LEVEL = 100  # levels from here on are frequent
 
 
 @dataclass(frozen=True)
@@ -98,12 +100,16 @@ def _sketch(shingles: np.ndarray) -> bytes:
 
 def _sketch_distance(a: bytes, b: bytes) -> int:
     """Bits in which two sketches differ; the longer one is folded to the shorter."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
+
+
+def _folded(sketch: bytes, size: int = _LEAST_SKETCH // 8) -> np.ndarray:
+    """A sketch of fewer bytes: odd numbers of odd numbers are odd."""
+    x = np.frombuffer(sketch, np.uint8)
+    while len(x) > size:
         x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    return x
 
 
 def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -120,11 +126,13 @@ def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
                     (joined >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), minlength=len(buckets)
                 ).astype(np.uint32)
                 size = b - a
+                sketches = [_sketch(s) for s in sets]
                 yield _profile_batch(
                     doc_id=batch.column(0).slice(a, size),
                     n=pa.array([len(s) for s in sets], pa.int32()),
                     sid=pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
-                    sketch=pa.array([_sketch(s) for s in sets], pa.binary()),
+                    sketch=pa.array(sketches, pa.binary()),
+                    small=pa.array([_folded(x).view(np.int64).tolist() for x in sketches], pa.list_(pa.int64())),
                 )
         parts = buckets.astype("<u4").reshape(-1, 1 << _PART_BITS)
         used = np.flatnonzero(parts.any(axis=1))
@@ -136,14 +144,14 @@ def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
             )
 
     return docs.mapInArrow(
-        profile, "doc_id long, n int, sid long, sketch binary, part int, counts binary"
+        profile, "doc_id long, n int, sid long, sketch binary, small array<long>, part int, counts binary"
     )
 
 
 _PROFILE = pa.schema(
     [
         ("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()),
-        ("sketch", pa.binary()), ("part", pa.int32()), ("counts", pa.binary()),
+        ("sketch", pa.binary()), ("small", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary()),
     ]
 )
 
@@ -155,8 +163,11 @@ def _profile_batch(**columns: pa.Array) -> pa.RecordBatch:
     )
 
 
-def _frequent_buckets(profile: DataFrame) -> np.ndarray:
-    """A fixed-size map of the buckets whose shingles count as frequent."""
+def _bucket_levels(profile: DataFrame) -> np.ndarray:
+    """A map of fixed size: how frequent the shingles of each bucket are.
+
+    Levels grow with the logarithm of what a bucket holds beyond the mean, measured in
+    standard deviations of the mean; from ``_FREQUENT_LEVEL`` on they are frequent."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}  # 256 parts at most
@@ -184,29 +195,34 @@ def _frequent_buckets(profile: DataFrame) -> np.ndarray:
         .mapInArrow(add, "part int, counts binary, total long")
     )
     mean = (summed.agg(F.sum("total")).first()[0] or 0) / (1 << _BUCKET_BITS)
-    bound = mean + 6 * mean**0.5 + _FREQUENT
+    deviation = mean**0.5
+    bound = mean + 6 * deviation + _FREQUENT
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [np.packbits(np.frombuffer(x, np.int64) > bound).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], names=["part", "bits"])
+            raw = []
+            for counts in batch.column(1).to_pylist():
+                count = np.frombuffer(counts, np.int64)
+                level = np.log2(1 + np.maximum(count - mean, 0) / (1 + deviation)).astype(np.uint8)
+                raw.append((level + _FREQUENT_LEVEL * (count > bound)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["part", "levels"])
 
-    frequent = np.zeros((1 << (_BUCKET_BITS - _PART_BITS), (1 << _PART_BITS) // 8), np.uint8)
-    # 256 rows of 2 KB, whatever the size of the data.
-    for r in summed.select("part", "counts").mapInArrow(mark, "part int, bits binary").collect():
-        frequent[r["part"]] = np.frombuffer(r["bits"], np.uint8)
-    return np.unpackbits(frequent.reshape(-1)).astype(bool)
+    levels = np.zeros((1 << (_BUCKET_BITS - _PART_BITS), 1 << _PART_BITS), np.uint8)
+    # 256 rows of 16 KB, whatever the size of the data.
+    for r in summed.select("part", "counts").mapInArrow(mark, "part int, levels binary").collect():
+        levels[r["part"]] = np.frombuffer(r["levels"], np.uint8)
+    return levels.reshape(-1)
 
 
-def signatures(shingles: np.ndarray, frequent: np.ndarray, rule: Rule) -> np.ndarray:
+def signatures(shingles: np.ndarray, levels: np.ndarray, rule: Rule) -> np.ndarray:
     """The index keys of a set; see the text of the module."""
     n = len(shingles)
     if not n:
         return shingles
-    often = frequent[(shingles >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
-    # Rare ones first, and in both parts by hash: one order for all sets.
-    ordered = np.concatenate((shingles[~often], shingles[often]))
-    rare = n - int(often.sum())
+    level = levels[(shingles >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
+    # By level, and inside a level by hash: one order for all sets.
+    ordered = shingles[np.argsort(level, kind="stable")]
+    rare = int((level < _FREQUENT_LEVEL).sum())
     need = n - int(rule.required(n)) + 1
     keys = []
     if n * rule.numerator < _SMALL * rule.denominator or need <= rare:
@@ -231,12 +247,12 @@ def signatures(shingles: np.ndarray, frequent: np.ndarray, rule: Rule) -> np.nda
     return np.concatenate(keys)
 
 
-def _index(docs: DataFrame, frequent: np.ndarray, rule: Rule) -> DataFrame:
+def _index(docs: DataFrame, levels: np.ndarray, rule: Rule) -> DataFrame:
     """Rows ``(sig, sid)``. A set that occurs again in the same task is left out."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
+    shared = docs.sparkSession.sparkContext.broadcast(levels.tobytes())
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.unpackbits(shared.value).astype(bool)
+        levels = np.frombuffer(shared.value, np.uint8)
         seen: set[int] = set()  # no more than the rows of one task
         for batch in batches:
             rows = kernel.byte_rows(batch.column(0))
@@ -247,7 +263,7 @@ def _index(docs: DataFrame, frequent: np.ndarray, rule: Rule) -> DataFrame:
                     if len(s) and sid not in seen:
                         seen.add(sid)
                         sids.append(sid)
-                        keys.append(signatures(s, often, rule))
+                        keys.append(signatures(s, levels, rule))
                 if not keys:
                     continue
                 counts = [len(k) for k in keys]
@@ -354,14 +370,14 @@ def jaccard_components(
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     profile = settle(_profile(docs, rule))
     rows = profile.where("part IS NULL")
-    frequent = _frequent_buckets(profile)
+    levels = _bucket_levels(profile)
     sets = settle(
         rows.where("sid IS NOT NULL")
         .groupBy("sid")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"))
     )
 
-    index = _index(docs, frequent, rule)
+    index = _index(docs, levels, rule)
     # One shuffle by key; keys with a single set go, and most keys are such.
     listed = settle(
         index.withColumn("low", F.expr("min(sid) OVER (PARTITION BY sig)"))
@@ -387,11 +403,27 @@ def jaccard_components(
         .where("low < high")
         .select("sig")
     )
-    left = settle(named.join(open_lists, "sig"))
+    left = settle(named.join(open_lists, "sig").join(sets.select("sid", "n", "small"), "sid"))
+    ends = [
+        left.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "component", "n", "small")])
+        for x in "ab"
+    ]
+    # Bounds on sizes and on the small sketches are part of the join: hopeless pairs of
+    # a list are never rows.
+    differ = sum(
+        (F.bit_count(F.col("small_a")[i].bitwiseXOR(F.col("small_b")[i])) for i in range(_LEAST_SKETCH // 64)),
+        F.lit(0),
+    )
+    low, high = rule.numerator, rule.denominator
     across = (
-        left.select("sig", F.col("sid").alias("a"), F.col("component").alias("c_a"))
-        .join(left.select("sig", F.col("sid").alias("b"), F.col("component").alias("c_b")), "sig")
-        .where("c_a < c_b")
+        ends[0]
+        .join(ends[1], "sig")
+        .where(
+            (F.col("component_a") < F.col("component_b"))
+            & (F.least("n_a", "n_b") * high >= F.greatest("n_a", "n_b") * low)
+            & (differ * (high + low) <= (F.col("n_a") + F.col("n_b")) * (high - low))
+        )
+        .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
