@@ -294,6 +294,10 @@ _CON_COLUMNS = [
 # --------------------------------------------------------------------- checks
 
 
+# The order behind an incident; the faulty frames are made by its last digits.
+_KEY = "CAST(substr(number, 4) AS BIGINT)"
+
+
 def _checks(ctes: str, *parts: tuple[str, list[tuple[str, str]]]) -> str:
     """Rows of rule names with a count. Each part is (table, [(rule, SQL)]): a
     SQL text with an aggregate is used as it stands, a condition is counted."""
@@ -381,9 +385,47 @@ def _check_texts() -> dict[str, str]:
                     ("negative_closure!warning", "closure_time_hours<0"),
                     ("duplicate_numbers", "=" + distinct.format("number")),
                     ("row_count", f"=abs(count(*) - {expected})"),
+                    ("number_count", f"=abs(count(DISTINCT number) - {expected})"),
+                ],
+            ),
+        ),
+        "v01_faults": _checks(
+            f", faulty AS (SELECT number, resolved_at, CASE WHEN {_KEY}%50<>1 THEN opened_at END AS opened_at,"
+            f" CASE WHEN {_KEY}%50=2 THEN -1.0 ELSE resolution_time_hours END AS resolution_time_hours,"
+            f" CASE WHEN {_KEY}%50=3 THEN -1.0 ELSE closure_time_hours END AS closure_time_hours FROM inc"
+            f" UNION ALL SELECT number, resolved_at, opened_at, resolution_time_hours, closure_time_hours FROM inc WHERE {_KEY}%50=0)",
+            (
+                "faulty",
+                [
+                    ("opened_at_missing", "opened_at IS NULL"),
+                    ("resolved_at_missing!info", "resolved_at IS NULL"),
+                    ("negative_resolution!warning", "resolution_time_hours<0"),
+                    ("negative_closure!warning", "closure_time_hours<0"),
+                    ("duplicate_numbers", "=" + distinct.format("number")),
+                    ("row_count", f"=abs(count(*) - {expected})"),
+                    ("number_count", f"=abs(count(DISTINCT number) - {expected})"),
+                ],
+            ),
+        ),
+        "v11_faults": _checks(
+            f", faulty AS (SELECT CASE WHEN {_KEY}%50=4 THEN '6+' ELSE reassignment_bucket END AS b,"
+            " reassignment_count AS c FROM inc)",
+            (
+                "faulty",
+                [("bucket_definition", "b <> CASE WHEN c=0 THEN '0' WHEN c<=2 THEN '1-2' WHEN c<=5 THEN '3-5' ELSE '6+' END")],
+            ),
+        ),
+        "v14_faults": _checks(
+            f", faulty AS (SELECT CASE WHEN {_KEY}%50<>5 THEN number END AS number FROM inc"
+            f" UNION ALL SELECT number FROM inc WHERE {_KEY}%50=0)",
+            (
+                "faulty",
+                [
+                    ("header", "=2 + 0*count(*)"),
+                    ("types", "=1 + 0*count(*)"),
+                    ("row_count", f"=abs(count(*) - {expected})"),
                     ("duplicate_numbers", "=count(number) - count(DISTINCT number)"),
                     ("missing_numbers", "=count(*) - count(number)"),
-                    ("number_count", f"=abs(count(DISTINCT number) - {expected})"),
                 ],
             ),
         ),
@@ -671,6 +713,12 @@ def texts() -> dict[str, str]:
         "read_event_log": _EVENTS + _all(
             "ev", {**{c: c for c in ["number", *clock, "made_sla", "active", *counters, "priority", "category",
                                      "assignment_group"]}, "location": "CAST(NULL AS VARCHAR)"}),
+        "guards": _INCIDENTS + """
+SELECT case_name, error_raised, (SELECT count(*) FROM inc) AS incidents FROM (VALUES
+ ('sound input', FALSE), ('missing column', TRUE), ('empty reference', TRUE), ('repeated factor', TRUE),
+ ('missing rate', TRUE), ('rate beyond 100', TRUE), ('baseline of 100', TRUE), ('no scores', TRUE),
+ ('no eligible group', TRUE), ('no row order', TRUE), ('several headers', TRUE)) AS v(case_name, error_raised)
+""",
         "several_log_files": _INCIDENTS + """
 SELECT number, sys_updated_at, made_sla, reassignment_count,
  CASE WHEN line=1 THEN nullif(d.text, '') END AS u_symptom

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from breachscope import schema as S
@@ -287,6 +287,83 @@ def _check_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdict(C.v01_incidents(incidents, _expected(spark, sf_dir)))
 
 
+def _order(frame: DataFrame) -> Column:
+    return F.substring("number", 4, 20).cast("bigint") % 50
+
+
+def _planted(incidents: DataFrame, number: bool = False) -> DataFrame:
+    """Incidents with faults at known orders: repeated rows, and missing openings and
+    negative hours, or missing numbers."""
+    last = _order(incidents)
+    if number:
+        changed = {"number": F.when(last != 5, F.col("number"))}
+    else:
+        changed = {
+            "opened_at": F.when(last != 1, F.col("opened_at")),
+            _HOURS: F.when(last == 2, -1.0).otherwise(F.col(_HOURS)),
+            "closure_time_hours": F.when(last == 3, -1.0).otherwise(F.col("closure_time_hours")),
+        }
+    return incidents.withColumns(changed).unionByName(incidents.where(last == 0))
+
+
+def _faulty_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["opened_at", "resolved_at", _HOURS, "closure_time_hours"]
+    faulty = settle(_planted(M.incidents(spark, sf_dir, columns, True)))
+    return _verdict(C.v01_incidents(faulty, _expected(spark, sf_dir)))
+
+
+def _faulty_buckets(incidents: DataFrame) -> DataFrame:
+    bucket = F.when(_order(incidents) == 4, "6+").otherwise(F.col("reassignment_bucket"))
+    faulty = incidents.withColumn("reassignment_bucket", bucket)
+    checks = C.v11_reassignment(settle(G.sla_reassignment(faulty, **_ONCE)), faulty)
+    return _verdict(checks).where("check_name = 'bucket_definition'")
+
+
+def _faulty_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    faulty = settle(_planted(_full_width(spark, sf_dir), number=True)).withColumn(
+        "active", F.col("active").cast("string")
+    )
+    swapped = [S.INCIDENT_COLUMNS[1], S.INCIDENT_COLUMNS[0], *S.INCIDENT_COLUMNS[2:]]
+    return _verdict(C.v14_load(faulty, swapped, _expected(spark, sf_dir)))
+
+
+def _guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each kind of unusable input is refused, and sound input is not."""
+    incidents = M.incidents(spark, sf_dir, _ALL, True)
+    reference = settle(R.reference_from_profile(R.factor_profile(incidents)))
+    scores = R.risk_scores(incidents, reference)
+    groups = settle(_groups(incidents, False))
+    rate = lambda value: reference.withColumn("breach_rate", value)
+    path = work_path(spark)
+    for names in (S.RAW_COLUMNS, S.RAW_COLUMNS[::-1]):
+        log = M.raw_event_log(spark, sf_dir).select(names)
+        log.write.mode("append").options(**WRITE_OPTIONS).csv(path)
+    cases = {
+        "sound input": lambda: R.risk_portfolio(scores, strict=True),
+        "missing column": lambda: G.sla_category(incidents.drop("category")),
+        "empty reference": lambda: R.risk_scores(incidents, reference.limit(0)),
+        "repeated factor": lambda: R.risk_scores(incidents, reference.unionAll(reference)),
+        "missing rate": lambda: R.risk_scores(incidents, rate(F.lit(None).cast("double"))),
+        "rate beyond 100": lambda: R.risk_scores(incidents, rate(F.col("breach_rate") + 101)),
+        "baseline of 100": lambda: R.risk_scores(incidents, reference, 100.0),
+        "no scores": lambda: R.risk_portfolio(scores.limit(0), strict=True),
+        "no eligible group": lambda: B.bottlenecks(
+            groups.withColumn("eligible_for_comparison", F.lit(False)), strict=True
+        ),
+        "no row order": lambda: L.collapse_events(M.event_log(spark, sf_dir).drop(L.ROW_ORDER)),
+        "several headers": lambda: I.check_header(spark, path),
+    }
+    raised = []
+    for name, build in cases.items():
+        try:
+            build()
+            raised.append((name, False))
+        except ValueError:
+            raised.append((name, True))
+    made = spark.createDataFrame(raised, "case_name string, error_raised boolean")
+    return made.withColumn("incidents", incidents.agg(F.count("*").alias("n")).scalar())
+
+
 def _check_scores(incidents: DataFrame) -> DataFrame:
     reference = settle(R.reference_from_profile(R.factor_profile(incidents)))
     scores = settle(R.risk_scores(incidents, reference))
@@ -558,6 +635,12 @@ def registry() -> dict[str, Query]:
         # checks
         "value_counts": _on([*status, "reassignment_bucket", "reopened"], C.value_distributions),
         "v01_incidents": _check_incidents,
+        "v01_faults": _faulty_incidents,
+        "v11_faults": _on(
+            [*_SLA, "reassignment_bucket"], _faulty_buckets, settled=True
+        ),
+        "v14_faults": _faulty_load,
+        "guards": _guards,
         "v02_risk_scores": _check(_FACTORS, _check_scores),
         "v03_portfolio": _check_profile(_check_portfolio),
         "v04_concentration": _check_profile(_check_concentration),

@@ -8,11 +8,19 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from breachscope.plans.oracle import texts
+from breachscope.plans.queries import registry
 from tests.compare import differences, second_engine
 
 SOME = [
     "clean_incidents",
     "load_incidents_table",
+    "several_log_files",
+    "load_free_text",
+    "report_free_text",
+    "guards",
+    "v01_faults",
+    "v14_faults",
     "q04_resolution_distribution",
     "q09_breach_concentration",
     "kpi_category",
@@ -30,10 +38,11 @@ def connection(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registry()) == set(texts())
+    assert set(registry()) <= set(queries()) and set(texts()) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", queries() if os.environ.get("ALL_QUERIES") else SOME)
+@pytest.mark.parametrize("name", texts() if os.environ.get("ALL_QUERIES") else SOME)
 def test_same_result_as_sql(spark, connection, sf_dir, name):
     assert differences(spark, connection, name, sf_dir) == []
 
