@@ -25,6 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
+    before = _marks(pairs)
     while True:
         both = pairs.union(pairs.select(F.col("v"), F.col("u")).toDF("u", "v"))
         # Written, so that adaptive execution can split the rows of a hub in the join.
@@ -48,22 +49,20 @@ def components(edges: DataFrame) -> DataFrame:
             .union(linked.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        if _same(pairs, small):
+        after = _marks(small)
+        if after == before:
             break
-        pairs = small
+        pairs, before = small, after
     return small.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         small.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    """Whether two sets of pairs are equal, by count and two order-free sums."""
-    marks = [
-        df.agg(
-            F.count(F.lit(1)),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-            F.sum(F.xxhash64(F.lit(3), "u", "v").cast("decimal(38,0)")),
-        ).first()
-        for df in (a, b)
-    ]
-    return tuple(marks[0]) == tuple(marks[1])
+def _marks(pairs: DataFrame) -> tuple:
+    """A count and two order-free sums that tell sets of pairs apart."""
+    row = pairs.agg(
+        F.count(F.lit(1)),
+        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
+        F.sum(F.xxhash64(F.lit(3), "u", "v").cast("decimal(38,0)")),
+    ).first()
+    return tuple(row)

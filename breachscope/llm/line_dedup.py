@@ -3,7 +3,7 @@
 Lines are normalised (lower case, everything but letters and digits as one blank) and
 reduced to a digest and a 64-bit SimHash in one pass over the texts. Equal lines are one
 line from there. Two lines are linked when their SimHashes differ in at most three bits
-and their edit similarity reaches the threshold. Of five blocks of the SimHash at most
+and the edit similarity of their words reaches the threshold. Of five blocks of the SimHash at most
 three are hit by three differing bits, so linked lines agree in two blocks at least:
 each pair of blocks is a join key of about 26 bits.
 
@@ -43,6 +43,13 @@ def _words(lines: Column) -> Column:
     return F.transform(lines, lambda x: F.array_remove(F.split(x, r"[^\p{L}\p{N}]+"), ""))
 
 
+def _coded(words: Column) -> Column:
+    """One character for each word, by its hash, so that the edit distance of two such
+    strings counts word edits. Two different words share a character once in 53,248."""
+    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0xD000)) + 0x100), 4, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-16BE")
+
+
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, body, pos, words`` of every line with enough words; ``body`` tells rows
     with one id apart. The words are made before the rows, so that it is done once."""
@@ -120,9 +127,9 @@ def _near(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose edit distance is at most ``(1 - similarity)`` of the longer line."""
-    both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("norm").alias("left")), "a").join(
-        texts.select(F.col("digest").alias("b"), F.col("norm").alias("right")), "b"
+    """Pairs whose distance in word edits is at most ``(1 - similarity)`` of the longer line."""
+    both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("coded").alias("left")), "a").join(
+        texts.select(F.col("digest").alias("b"), F.col("coded").alias("right")), "b"
     )
     longer = F.greatest(F.char_length("left"), F.char_length("right"))
     allowed = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
@@ -199,8 +206,8 @@ def line_groups(
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
-    """The normalised lines of ``pairs``, each from the place of the occurrence that is
-    known; the other documents are not even split into lines."""
+    """The lines of ``pairs`` in words of one character each, from the place of the
+    occurrence that is known; the other documents are not even split into lines."""
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
     wanted = settle(
         distinct.join(ends, "digest").select(
@@ -216,7 +223,7 @@ def _texts(docs: DataFrame, pairs: DataFrame, distinct: DataFrame, min_words: in
     some = docs.withColumn("body", F.xxhash64("text")).join(wanted, here, "left_semi")
     lines = _lines(some, min_words).join(wanted, here & (F.col("pos") == F.col("of_pos")))
     # Rows alike in id and text give their lines more than once.
-    return settle(lines.select("digest", F.array_join("words", " ").alias("norm")).distinct())
+    return settle(lines.select("digest", _coded(F.col("words")).alias("coded")).distinct())
 
 
 def deduplicate_lines(

@@ -50,7 +50,8 @@ def test_line_groups_agree_with_brute_force(spark, docs, texts):
     for k, a in enumerate(distinct):
         for b in distinct[:k]:
             if bin((of[a] ^ of[b]) & (1 << 64) - 1).count("1") <= line_dedup.BITS_APART:
-                if _distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
+                a_words, b_words = a.split(), b.split()
+                if _distance(a_words, b_words) <= int(max(len(a_words), len(b_words)) * 0.2 + 1e-9):
                     up[root(a)] = root(b)
     stays = {}
     for key, n in sorted(lines):
