@@ -114,16 +114,8 @@ def _keys() -> Column:
     )
 
 
-def _near(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Pairs whose SimHashes are close and whose lengths allow the similarity."""
-    left = lines.select(F.col("digest").alias("a"), F.col("simhash").alias("s_a"))
-    right = lines.select(F.col("digest").alias("b"), F.col("simhash").alias("s_b"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(F.bit_count(F.col("s_a").bitwiseXOR(F.col("s_b"))) <= BITS_APART)
-        .select("a", "b")
-    )
+def _close(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS_APART
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -155,19 +147,24 @@ def line_groups(
         )
     )
 
-    keyed = distinct.select(F.explode(_keys()).alias("key"), "digest")
+    # The SimHash travels with the keys, so that no pair has to look it up.
+    keyed = distinct.select(F.explode(_keys()).alias("key"), "digest", "simhash")
     listed = settle(
-        keyed.withColumn("low", F.expr("min(digest) OVER (PARTITION BY key)"))
+        keyed.withColumn("low", F.expr("min(struct(digest, simhash)) OVER (PARTITION BY key)"))
         .withColumn("high", F.expr("max(digest) OVER (PARTITION BY key)"))
-        .where("low < high")
+        .where("low.digest < high")
+        .select("key", "digest", "simhash", F.col("low.digest").alias("low"), F.col("low.simhash").alias("low_hash"))
+    )
+    hopeful = settle(
+        listed.where((F.col("digest") > F.col("low")) & _close("simhash", "low_hash"))
+        .select(F.col("low").alias("a"), F.col("digest").alias("b"))
+        .distinct()
     )
-    stars = listed.where("digest > low").select(F.col("low").alias("a"), F.col("digest").alias("b")).distinct()
-    hopeful = settle(_near(stars, distinct))
     first = settle(_similar(hopeful, _texts(docs, hopeful, distinct, min_words), similarity))
     known = settle(components(first))
 
     named = settle(
-        listed.select("key", "digest")
+        listed.select("key", "digest", "simhash")
         .join(known.select(F.col("node").alias("digest"), "component"), "digest", "left")
         .withColumn("component", F.coalesce("component", "digest"))
     )
@@ -177,15 +174,16 @@ def line_groups(
         .where("low < high")
         .select("key")
     )
-    left = settle(named.join(open_keys, "key").join(distinct.select("digest", "simhash"), "digest"))
-    close = F.bit_count(F.col("s_a").bitwiseXOR(F.col("s_b"))) <= BITS_APART
+    left = settle(named.join(open_keys, "key"))
+    ends = [
+        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("digest", "component", "simhash")])
+        for x in "ab"
+    ]
     across = (
-        left.select("key", F.col("digest").alias("a"), F.col("component").alias("c_a"), F.col("simhash").alias("s_a"))
-        .join(
-            left.select("key", F.col("digest").alias("b"), F.col("component").alias("c_b"), F.col("simhash").alias("s_b")),
-            "key",
-        )
-        .where((F.col("c_a") < F.col("c_b")) & close)
+        ends[0]
+        .join(ends[1], "key")
+        .where((F.col("component_a") < F.col("component_b")) & _close("simhash_a", "simhash_b"))
+        .select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
