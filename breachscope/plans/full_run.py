@@ -21,7 +21,7 @@ from breachscope.operators import checks as C
 from breachscope.operators import risk as R
 from breachscope.operators import segments as G
 from breachscope.operators.cleaning import clean_incidents
-from breachscope.session import CODE_SIZE_SETTING
+from breachscope.session import CODE_SIZE_SETTING, clear_work
 from breachscope.sources.events import read_event_log
 from breachscope.sources.incidents import read_incidents, write_incidents
 from breachscope.sources.reports import write_report
@@ -125,7 +125,10 @@ def main(argv: list[str]) -> None:
     spark = SparkSession.builder.appName("breachscope").config(*CODE_SIZE_SETTING).getOrCreate()
     count = int(partitions[0]) if partitions else shuffle_partitions(spark, events_csv)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
-    run_all(read_event_log(spark, events_csv), out, partition_by=("opened_year",))
+    try:
+        run_all(read_event_log(spark, events_csv), out, partition_by=("opened_year",))
+    finally:
+        clear_work(spark)  # everything worth keeping is under ``out``
 
 
 if __name__ == "__main__":

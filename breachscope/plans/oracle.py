@@ -146,6 +146,8 @@ _BKT = _segment_cte("bkt", "reassignment_bucket")
 _GRP = _segment_cte("grp", "assignment_group")
 _MON = _segment_cte("mon", "opened_month")
 
+_WORST = "eligible_for_comparison DESC, breach_rate DESC NULLS LAST, incident_count DESC"
+
 _DOUBLES = {
     "median_resolution_hours", "p90_resolution_hours", "mean_resolution_hours",
     "mean_reassignment_count", "breach_rate", "sla_compliance", "resolution_coverage",
@@ -713,6 +715,15 @@ def texts() -> dict[str, str]:
         "read_event_log": _EVENTS + _all(
             "ev", {**{c: c for c in ["number", *clock, "made_sla", "active", *counters, "priority", "category",
                                      "assignment_group"]}, "location": "CAST(NULL AS VARCHAR)"}),
+        **{
+            query: _INCIDENTS + cte + f"SELECT {key}, CAST(row_number() OVER (ORDER BY {order}) AS INT) AS position FROM {name}"
+            for query, cte, name, key, order in (
+                ("order_category", _CAT, "cat", "category", _WORST + ", category"),
+                ("order_group", _GRP, "grp", "assignment_group", _WORST + ", assignment_group"),
+                ("order_priority", _PRI, "pri", "priority", "priority"),
+                ("order_monthly", _MON, "mon", "opened_month", "opened_month"),
+            )
+        },
         "guards": _INCIDENTS + """
 SELECT case_name, error_raised, (SELECT count(*) FROM inc) AS incidents FROM (VALUES
  ('sound input', FALSE), ('missing column', TRUE), ('empty reference', TRUE), ('repeated factor', TRUE),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from breachscope import schema as S
@@ -134,6 +134,20 @@ def _concentration(scores: DataFrame) -> DataFrame:
     return R.risk_concentration(settle(scores), weight="incident_count")
 
 
+def _positions(report: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """The place of each row in the order that the report shows its groups in."""
+
+    def number(incidents: DataFrame) -> DataFrame:
+        rows = report(incidents)
+        # Ids grow along the partitions of a sorted frame. There is a row a group.
+        placed = rows.select(rows.columns[0], F.monotonically_increasing_id().alias("_place"))
+        return placed.select(
+            rows.columns[0], F.row_number().over(Window.orderBy("_place")).alias("position")
+        )
+
+    return number
+
+
 def _segment_tables(incidents: DataFrame) -> dict[str, DataFrame]:
     return {
         "category": settle(_categories(incidents, False)),
@@ -599,6 +613,16 @@ def registry() -> dict[str, Query]:
         ),
         "segment_counts_group": _on(_GROUP, lambda i: G.segment_totals(_groups(i, False)), settled=True),
         "missing_group_share": _on(["assignment_group"], G.missing_group_share),
+        "order_category": _on([*_SLA, "category"], _positions(lambda i: _categories(i, False)), settled=True),
+        "order_group": _on(_GROUP, _positions(lambda i: _groups(i, False)), settled=True),
+        "order_priority": _on(
+            [*_SLA, "priority"],
+            _positions(lambda i: G.sla_priority(i, **_ONCE, percentiles=False)),
+            settled=True,
+        ),
+        "order_monthly": _on(
+            [*_SLA, "opened_month"], _positions(lambda i: G.sla_monthly(i, **_ONCE)), settled=True
+        ),
         # bottlenecks
         "bottlenecks": _on_groups(_classified),
         "volume_class": _on_groups(

@@ -57,6 +57,17 @@ def work_path(spark: SparkSession) -> str:
     return f"{folder}/{uuid.uuid4().hex}"
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application.
+
+    Frames that still read one fail from then on: call it once results are stored."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/breachscope/{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
