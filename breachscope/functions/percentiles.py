@@ -7,11 +7,14 @@ reducer is the limit of the whole job, so the reports use this form:
 1. count equal values per group (map-side combine; equal values collapse);
 2. add those counts up per coarse value range, and find by a running sum over
    the ranges which of them hold the wanted ranks;
-3. rank only the values inside those ranges.
+3. cut those ranges again, into equal steps between their smallest and largest value,
+   and find the steps that hold the wanted ranks in the same way;
+4. rank only the values inside those steps.
 
 A range is a function of the value alone and grows with it, so the running sum
 is exact whatever the data looks like. A group spreads over as many tasks as it
-has ranges, and only the one or two ranges per percentile are ever sorted.
+has ranges, and only one or two steps per percentile are ever sorted: a range into
+which a million different values crowd is ranked by some hundreds of them.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 # Ranges per factor e of the value: each is under 1 % wide, and values below one
 # (an hour, a score point) are cut into 1/128 steps.
 _RANGES_PER_E = 128
+# Steps of a range that holds a wanted rank.
+_STEPS = 4096
 
 
 def _value_range(value: Column) -> Column:
@@ -77,7 +82,7 @@ def exact_percentiles(
     earlier = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
         cells.groupBy("_g", "_m", "_r")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("_total", F.sum("_n").over(whole))
     )
@@ -106,18 +111,28 @@ def exact_percentiles(
         return reduce(lambda a, b: a | b, tests)
 
     needed = ranges.where(any_rank(F.col("_before"))).select(
-        "_g", "_m", "_r", "_before", "_total"
+        "_g", "_m", "_r", "_before", "_total", "_low", "_high"
     )
 
-    inside = (
-        Window.partitionBy("_g", "_m", "_r")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    def start_in(window) -> Column:
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.col("_before") + F.coalesce(F.sum("_n").over(before), F.lit(0))
+
+    share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    step = F.when(F.col("_high") > F.col("_low"), F.floor(share * F.lit(float(_STEPS))))
+    stepped = cells.join(needed, ["_g", "_m", "_r"]).withColumn("_s", F.coalesce(step, F.lit(0)))
+    steps = stepped.groupBy("_g", "_m", "_r", "_s").agg(
+        F.sum("_n").alias("_n"), F.first("_before").alias("_before"), F.first("_total").alias("_total")
+    )
+    needed_steps = (
+        steps.withColumn("_first", start_in(Window.partitionBy("_g", "_m", "_r").orderBy("_s")))
+        .where(any_rank(F.col("_first")))
+        .select("_g", "_m", "_r", "_s", F.col("_first").alias("_before"), "_total")
     )
-    start = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    values = stepped.select("_g", "_m", "_r", "_s", "_v", "_n")
     ranked = (
-        cells.join(needed, ["_g", "_m", "_r"])
-        .withColumn("_start", start)
+        values.join(needed_steps, ["_g", "_m", "_r", "_s"])
+        .withColumn("_start", start_in(Window.partitionBy("_g", "_m", "_r", "_s").orderBy("_v")))
         .where(any_rank(F.col("_start")))
     )
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from breachscope.functions import percentiles as P
 from breachscope.functions.percentiles import exact_percentiles, with_percentiles
 
 
@@ -90,3 +91,18 @@ def test_input_is_read_once_and_the_cells_are_reused(spark, tmp_path, threshold)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+
+
+def test_a_crowded_minute_is_not_ranked_by_one_task(spark):
+    # A million different values between 24 h and 24 h and a minute, in one group.
+    crowded = spark.range(1_000_000).selectExpr("'a' AS k", "24 + id / 6.0e7 AS v")
+    found = exact_percentiles(crowded, ["k"], {"m": ("v", 0.5), "p": ("v", 0.9)})
+    row = found.collect()[0]
+    assert row["m"] == pytest.approx(24 + 499_999.5 / 6e7, abs=1e-12)
+    assert row["p"] == pytest.approx(24 + 899_999.1 / 6e7, abs=1e-12)
+    # What the last ranking sorts together: the values of one step of one range.
+    ranged = crowded.withColumn("r", P._value_range(F.col("v")))
+    limits = ranged.groupBy("r").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    share = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
+    steps = ranged.join(limits, "r").groupBy("r", F.floor(share * P._STEPS).alias("s")).count()
+    assert steps.agg(F.max("count")).first()[0] <= 300
