@@ -397,10 +397,20 @@ def jaccard_components(
         .distinct()
     )
     named = settle(named)
+    # The shingles of one passage have one list each, but all the same: one is enough.
+    # Lists are told apart by size and two order-free hashes of their sets.
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "sid")).alias(f"mark_{i}") for i in range(2)]
     open_lists = settle(
         named.groupBy("sig")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("size"),
+            *marks,
+        )
         .where("low < high")
+        .groupBy("size", "mark_0", "mark_1")
+        .agg(F.min("sig").alias("sig"))
         .select("sig")
     )
     left = settle(named.join(open_lists, "sig").join(sets.select("sid", "n", "small"), "sid"))
