@@ -168,10 +168,20 @@ def line_groups(
         .join(known.select(F.col("node").alias("digest"), "component"), "digest", "left")
         .withColumn("component", F.coalesce("component", "digest"))
     )
+    # Keys with the same lines need one look only; the lines are told apart by their
+    # number and two order-free hashes.
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "digest")).alias(f"mark_{i}") for i in range(2)]
     open_keys = settle(
         named.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("size"),
+            *marks,
+        )
         .where("low < high")
+        .groupBy("size", "mark_0", "mark_1")
+        .agg(F.min("key").alias("key"))
         .select("key")
     )
     left = settle(named.join(open_keys, "key"))
