@@ -262,14 +262,17 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
         return docs.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(vars(model))  # of a fixed size
     n = len(kept)
+    # The text travels once: as one of the kept columns, or else behind them.
+    at = kept.index(text_col) if text_col in kept else n
+    flag = n if text_col in kept else n + 1
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(**shared.value)
         table = np.zeros((FEATURES, len(m.labels)))
         table[:] = m.weights
         for batch in batches:
-            letters = batch.column(n + 1).to_pylist()
-            rows = kernel.byte_rows(batch.column(n))
+            letters = batch.column(flag).to_pylist()
+            rows = kernel.byte_rows(batch.column(at))
             langs, scores = [], []
             for a, b in kernel.blocks(rows):
                 for has, (found, counts) in zip(letters[a:b], feature_counts(rows[a:b]), strict=True):
@@ -290,7 +293,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     # Positions, not names, tell the columns apart inside the task.
     source = docs.select(
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)],
-        F.col(text_col).alias("body"),
+        *[F.col(f"`{text_col}`").alias("body")] * (at == n),
         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"),
     )
     schema = source.schema

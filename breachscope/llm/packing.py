@@ -30,7 +30,7 @@ SEQUENCE_TOKENS = 4096
 DIMENSIONS = 3
 BITS = 10  # cells per dimension: 2**BITS
 _HASHED = 4096  # length of the hashed word-count vector
-_CACHED_UNITS = 1_500_000
+_CACHED_UNITS = 400_000
 
 _SENTINEL = "<|endoftext|>"
 
