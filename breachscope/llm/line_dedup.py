@@ -1,16 +1,21 @@
 """Near-duplicate lines: one occurrence of each connected group stays.
 
 Lines are normalised (lower case, everything but letters and digits as one blank) and
-reduced to a digest and a 64-bit SimHash in one pass over the texts. Equal lines are one
-line from there. Two lines are linked when their SimHashes differ in at most three bits
-and the edit similarity of their words reaches the threshold. Of five blocks of the SimHash at most
-three are hit by three differing bits, so linked lines agree in two blocks at least:
-each pair of blocks is a join key of about 26 bits.
+reduced to a digest and a string of one character for each word. Equal lines are one
+line from there. Two lines are linked when the edit similarity of their words reaches
+the threshold, and by nothing else.
+
+Candidates follow from that. Of the distinct word pairs (neighbours) of a line, at most
+two are lost with each edit, so two linked lines have a pair of words in common, and the
+rarest they have in common is among the ``2 k + 1`` rarest of each line, ``k`` being the
+number of edits allowed. These are its join keys. What counts as rare is an estimate,
+the same one for all lines: it decides how many candidates there are, not which are linked.
 
 Under each key a line is compared with the smallest line only; lines that this leaves
 in different components are compared in a second step. That finds the same components
 as all pairs would, and a group of thousands of variants costs its size, not its square.
-Texts are fetched again for lines that are to be compared, and for no others.
+Bounds on lengths and on the words' parity bits come before the distance; both hold for
+every linked pair.
 
 DataFrame functions only.
 """
@@ -18,7 +23,6 @@ DataFrame functions only.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,25 +32,33 @@ from breachscope.session import settle
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
-BITS_APART = 3
+# Linked lines may differ in all bits of their SimHashes: these exclude no pair.
+BITS_APART = 64
 
-# Widths of the five blocks of a SimHash.
-_BLOCKS = (13, 13, 13, 13, 12)
 _LANES = 0x0001000100010001
 
-# Places of lines to compare are broadcast up to this many (some 50 bytes each).
+# Digests of lines to compare are broadcast up to this many (some 30 bytes each).
 BROADCAST_LINES = 1_000_000
 
+# Letters of scripts without blanks between words: each is a word.
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+# Codes of words, and of every how many lines one is counted to tell rare words.
+_CODES = 0xD000
+_SAMPLE = 8
+
 
 def _words(lines: Column) -> Column:
-    """Lower-cased runs of letters and digits of each line."""
-    return F.transform(lines, lambda x: F.array_remove(F.split(x, r"[^\p{L}\p{N}]+"), ""))
+    """Lower-cased runs of letters and digits of each line; in scripts without blanks
+    each letter is one."""
+    apart = lambda x: F.regexp_replace(x, _UNSPACED, " $0 ")
+    return F.transform(lines, lambda x: F.array_remove(F.split(apart(x), r"[^\p{L}\p{N}]+"), ""))
 
 
 def _coded(words: Column) -> Column:
     """One character for each word, by its hash, so that the edit distance of two such
     strings counts word edits. Two different words share a character once in 53,248."""
-    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0xD000)) + 0x100), 4, "0")
+    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(_CODES)) + 0x100), 4, "0")
     return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-16BE")
 
 
@@ -58,8 +70,13 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     return made.where(F.size("words") >= min_words)
 
 
+def _digest(*parts: str) -> Column:
+    return F.unhex(F.concat(*[F.lpad(F.hex(d), 16, "0") for d in parts]))
+
+
 def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, body, pos, digest, simhash`` of every line with enough words.
+    """``doc_id, body, pos, digest, simhash`` of every line with enough words; a
+    description of lines that ``line_groups`` makes no use of.
 
     Bit ``b`` of the SimHash is set when more than half of the words have it set in
     their hash. The bits are added up by the aggregate over the exploded words, four in
@@ -89,33 +106,66 @@ def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
         )
 
     bits = [bit(s, lane) for s in range(16) for lane in range(4)]
-    digest = F.unhex(F.concat(*[F.lpad(F.hex(d), 16, "0") for d in ("d1", "d2")]))
     return summed.select(
-        "doc_id", "body", "pos", digest.alias("digest"), reduce(Column.bitwiseOR, bits).alias("simhash")
+        "doc_id", "body", "pos", _digest("d1", "d2").alias("digest"), reduce(Column.bitwiseOR, bits).alias("simhash")
     )
 
 
-def _keys() -> Column:
-    """The ten keys of a SimHash: two of its blocks, and which two."""
-    start, parts = 0, []
-    for width in _BLOCKS:
-        parts.append(
-            F.shiftrightunsigned("simhash", start).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
-        )
-        start += width
-    pairs = list(combinations(range(len(_BLOCKS)), 2))
-    return F.array(
-        *[
-            F.shiftleft(F.shiftleft(parts[a], 13).bitwiseOR(parts[b]), 4).bitwiseOR(
-                F.lit(n).cast("bigint")
-            )
-            for n, (a, b) in enumerate(pairs)
-        ]
-    )
+def _allowed(n: Column, similarity: float) -> Column:
+    """Word edits that a line of ``n`` words may differ in."""
+    return F.floor(n * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
 
 
-def _close(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS_APART
+def _levels(lines: DataFrame) -> Column:
+    """A byte for each code of a word, by the logarithm of its count in a sample."""
+    some = lines.where(F.pmod(F.xxhash64("digest"), F.lit(_SAMPLE)) == 0)
+    counted = (
+        some.select(F.explode(F.split("coded", "")).alias("c"))
+        .groupBy("c")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.ascii("c").alias("c"), F.floor(F.log2(F.col("n") + 1) * 3).cast("int").alias("level"))
+    )
+    out = bytearray(0x100 + _CODES)
+    for row in counted.collect():
+        out[row["c"]] = min(row["level"], 127)
+    return F.lit(bytes(out))
+
+
+def _keyed(lines: DataFrame, similarity: float, min_words: int) -> DataFrame:
+    """``key, digest, n, parity``: the rarest word pairs of each line with enough words.
+
+    A shorter line must have as many keys as its longest partner asks of it: the pairs
+    of words that it can lose are one less for each word it is shorter, so that the
+    partner of one more word asks most. Bit ``b`` of ``parity`` tells whether an odd number of words
+    have a code of ``b`` modulo 64; an edit changes two bits at most."""
+    levels = _levels(lines)
+    ranked = lambda c: (
+        F.ascii(F.substring(levels, F.ascii(c) + 1, F.lit(1)).cast("string")) * (1 << 16) + F.ascii(c)
+    ).cast("bigint")
+    coded = lines.where(F.char_length("coded") >= max(min_words, 2)).select(
+        "digest", F.char_length("coded").alias("n"), F.transform(F.split("coded", ""), ranked).alias("codes")
+    )
+    pair = lambda a, b: F.when(
+        a.isNotNull() & b.isNotNull(),
+        F.shiftleft(F.shiftright(a, 16) + F.shiftright(b, 16), 32)
+        + F.shiftleft(a.bitwiseAND(F.lit(0xFFFF)), 16)
+        + b.bitwiseAND(F.lit(0xFFFF)),
+    )
+    pairs = F.zip_with("codes", F.slice("codes", F.lit(2), F.col("n")), pair)
+    n = F.col("n")
+    many = F.greatest(_allowed(n, similarity) * 2 + 1, _allowed(n + 1, similarity) * 2)
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))
+    parity = F.aggregate("codes", F.lit(0).cast("bigint"), lambda out, c: out.bitwiseXOR(bit(c)))
+    keys = F.slice(F.sort_array(F.array_distinct(F.array_compact(pairs))), F.lit(1), many)
+    return coded.select("digest", "n", parity.alias("parity"), F.explode(keys).alias("key"))
+
+
+def _close(a: tuple[str, str], b: tuple[str, str], similarity: float) -> Column:
+    """Whether ``(n, parity)`` of two lines leave them a chance to be linked."""
+    allowed = _allowed(F.greatest(a[0], b[0]), similarity)
+    return (F.abs(F.col(a[0]) - F.col(b[0])) <= allowed) & (
+        F.bit_count(F.col(a[1]).bitwiseXOR(F.col(b[1]))) <= allowed * 2
+    )
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -124,7 +174,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         texts.select(F.col("digest").alias("b"), F.col("coded").alias("right")), "b"
     )
     longer = F.greatest(F.char_length("left"), F.char_length("right"))
-    allowed = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+    allowed = _allowed(longer, similarity)
     apart = F.abs(F.char_length("left") - F.char_length("right"))
     distance = F.call_function("levenshtein", F.col("left"), F.col("right"), allowed)
     # The condition on lengths comes first: it spares the distance of hopeless pairs.
@@ -138,33 +188,36 @@ def line_groups(
 
     ``keep`` is the occurrence that stays, a struct ``(doc_id, body, pos)``. ``docs``
     has the columns ``doc_id`` and ``text``."""
-    occurrences = settle(hashed_lines(docs, min_words))
+    if similarity < 0.75:
+        raise ValueError("keys find all links from a similarity of 0.75 only")
+    norm = F.array_join("words", " ")
+    made = _lines(docs, min_words).withColumns({"d1": F.xxhash64(norm), "d2": F.xxhash64(F.lit(1), norm)})
     # Null ids sort first in a struct; here they come last.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body", "pos")
+    occurrences = settle(made.select("doc_id", "body", "pos", _digest("d1", "d2").alias("digest"), _coded(F.col("words")).alias("coded")))
     distinct = settle(
         occurrences.groupBy("digest").agg(
-            F.first("simhash").alias("simhash"), F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")
+            F.first("coded").alias("coded"), F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")
         )
     )
 
-    # The SimHash travels with the keys, so that no pair has to look it up.
-    keyed = distinct.select(F.explode(_keys()).alias("key"), "digest", "simhash")
+    # What bounds the distance travels with the keys, so that no pair has to look it up.
+    keyed = _keyed(distinct.select("digest", "coded"), similarity, min_words)
     listed = settle(
-        keyed.withColumn("low", F.expr("min(struct(digest, simhash)) OVER (PARTITION BY key)"))
+        keyed.withColumn("low", F.expr("min(struct(digest, n, parity)) OVER (PARTITION BY key)"))
         .withColumn("high", F.expr("max(digest) OVER (PARTITION BY key)"))
         .where("low.digest < high")
-        .select("key", "digest", "simhash", F.col("low.digest").alias("low"), F.col("low.simhash").alias("low_hash"))
     )
     hopeful = settle(
-        listed.where((F.col("digest") > F.col("low")) & _close("simhash", "low_hash"))
-        .select(F.col("low").alias("a"), F.col("digest").alias("b"))
+        listed.where((F.col("digest") > F.col("low.digest")) & _close(("n", "parity"), ("low.n", "low.parity"), similarity))
+        .select(F.col("low.digest").alias("a"), F.col("digest").alias("b"))
         .distinct()
     )
-    first = settle(_similar(hopeful, _texts(docs, hopeful, distinct, min_words), similarity))
+    first = settle(_similar(hopeful, _texts(hopeful, distinct), similarity))
     known = settle(components(first))
 
     named = settle(
-        listed.select("key", "digest", "simhash")
+        listed.select("key", "digest", "n", "parity")
         .join(known.select(F.col("node").alias("digest"), "component"), "digest", "left")
         .withColumn("component", F.coalesce("component", "digest"))
     )
@@ -186,19 +239,19 @@ def line_groups(
     )
     left = settle(named.join(open_keys, "key"))
     ends = [
-        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("digest", "component", "simhash")])
+        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("digest", "component", "n", "parity")])
         for x in "ab"
     ]
     across = (
         ends[0]
         .join(ends[1], "key")
-        .where((F.col("component_a") < F.col("component_b")) & _close("simhash_a", "simhash_b"))
+        .where((F.col("component_a") < F.col("component_b")) & _close(("n_a", "parity_a"), ("n_b", "parity_b"), similarity))
         .select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
     more = settle(across.join(hopeful, ["a", "b"], "left_anti"))
-    second = settle(_similar(more, _texts(docs, more, distinct, min_words), similarity))
+    second = settle(_similar(more, _texts(more, distinct), similarity))
     final = components(first.union(second))
 
     of_line = settle(
@@ -213,25 +266,13 @@ def line_groups(
     return settle(of_line.select("digest", "component").join(of_group, "component")), occurrences
 
 
-def _texts(docs: DataFrame, pairs: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
-    """The lines of ``pairs`` in words of one character each, from the place of the
-    occurrence that is known; the other documents are not even split into lines."""
+def _texts(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """The lines of ``pairs`` in words of one character each."""
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
-    wanted = settle(
-        distinct.join(ends, "digest").select(
-            "digest",
-            F.col("keep.doc_id").alias("of_id"),
-            F.col("keep.body").alias("of_body"),
-            F.col("keep.pos").alias("of_pos"),
-        )
-    )
+    wanted = settle(ends)
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
-    here = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("body") == F.col("of_body"))
-    some = docs.withColumn("body", F.xxhash64("text")).join(wanted, here, "left_semi")
-    lines = _lines(some, min_words).join(wanted, here & (F.col("pos") == F.col("of_pos")))
-    # Rows alike in id and text give their lines more than once.
-    return settle(lines.select("digest", _coded(F.col("words")).alias("coded")).distinct())
+    return settle(distinct.select("digest", "coded").join(wanted, "digest", "left_semi"))
 
 
 def deduplicate_lines(

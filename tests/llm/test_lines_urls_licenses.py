@@ -1,8 +1,10 @@
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
 from breachscope.llm import licenses, line_dedup, url_filter
+from tests.llm.conftest import WORDS
 
 
 def _distance(a, b):
@@ -142,3 +144,21 @@ def test_licenses_are_found_in_any_spelling(spark, docs, nothing):
         (8, None, "CC-BY-NC-4.0,MIT", 6),
     ]
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(nothing).count() == 0
+
+
+def test_lines_are_linked_by_their_words_alone(spark):
+    """Recall by length, against lines made with as many edits as are allowed."""
+    rng = random.Random(6)
+    rows, linked = [], set()
+    for i, n in enumerate((5, 6, 9, 10, 14, 20, 24, 40, 80, 5, 10, 20, 40, 80)):
+        words = [rng.choice(WORDS) for _ in range(n)]
+        other, k = list(words), int(n * 0.2 + 1e-9)
+        for j, at in enumerate(rng.sample(range(n), k)):
+            other[at] = f"new{i}x{j}" if i % 3 else rng.choice(WORDS)
+        if n >= 10 and i % 2:
+            del other[rng.randrange(n)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        if _distance(words, other) <= k:
+            linked.add(2 * i + 1)
+    found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(linked) > 8 and {r["doc_id"] for r in found.where("n_removed > 0").collect()} == linked
