@@ -3,7 +3,7 @@
 Lines are normalised (lower case, everything but letters and digits as one blank) and
 reduced to a digest and a string of one character for each word. Equal lines are one
 line from there. Two lines are linked when the edit similarity of their words reaches
-the threshold, and by nothing else.
+the threshold, and by nothing else; lines of few words are linked with equal ones only.
 
 Candidates follow from that. Of the distinct word pairs (neighbours) of a line, at most
 two are lost with each edit, so two linked lines have a pair of words in common, and the
@@ -191,7 +191,7 @@ def line_groups(
     if similarity < 0.75:
         raise ValueError("keys find all links from a similarity of 0.75 only")
     norm = F.array_join("words", " ")
-    made = _lines(docs, min_words).withColumns({"d1": F.xxhash64(norm), "d2": F.xxhash64(F.lit(1), norm)})
+    made = _lines(docs, 1).withColumns({"d1": F.xxhash64(norm), "d2": F.xxhash64(F.lit(1), norm)})
     # Null ids sort first in a struct; here they come last.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body", "pos")
     occurrences = settle(made.select("doc_id", "body", "pos", _digest("d1", "d2").alias("digest"), _coded(F.col("words")).alias("coded")))
@@ -286,8 +286,8 @@ def deduplicate_lines(
 
     Lines end at a line feed. Of each connected group of lines, within documents and
     across them, the occurrence in the document with the smallest id stays, the first
-    one there; a null id comes last. Lines of fewer than ``min_words`` words stay
-    always. Rows alike in id and text are one document and keep the same lines. A null
+    one there; a null id comes last. Lines of fewer than ``min_words`` words are grouped
+    with equal lines only, lines without a letter or digit stay always. Rows alike in id and text are one document and keep the same lines. A null
     text stays null and has no lines; a text of which every line goes becomes empty.
     Columns by the two new names are replaced.
     """

@@ -162,3 +162,14 @@ def test_lines_are_linked_by_their_words_alone(spark):
             linked.add(2 * i + 1)
     found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert len(linked) > 8 and {r["doc_id"] for r in found.where("n_removed > 0").collect()} == linked
+
+
+def test_short_lines_and_lines_without_blanks_are_grouped(spark):
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(30))
+    rows = [
+        (1, "Of edti oner\n---\n" + han), (2, "of edti, oner!\n---\nof edti two"), (3, han[:10] + "\u9fa0" + han[11:]),
+        (4, "\u4e00\u4e01\u4e02"), (5, "\u4e00\u4e01\u4e02"), (6, "\u4e00\u4e01\u4e03"),
+    ]
+    found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = {r["doc_id"]: r["text"] for r in found.collect()}
+    assert kept == {1: rows[0][1], 2: "---\nof edti two", 3: "", 4: rows[3][1], 5: "", 6: rows[5][1]}
