@@ -45,3 +45,14 @@ def test_no_documents_give_no_pieces(spark, sf_dir):
     for name, stage in P.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_rows_are_kept_or_dropped_by_row_not_by_id(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy(F.desc(F.length("text"))).first()["text"]
+    one, two, three = (" ".join(f"{x}{i}word" for i in range(60)) for x in "abc")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    kept = lambda stage, rows: sorted(((r["doc_id"], r["text"]) for r in stage(spark, frame(rows), sf_dir).collect()), key=str)
+    near = [(2, one), (2, one), (None, one), (1, one), (1, two), (3, two), (None, three), (None, three)]
+    assert kept(P.remove_near_copies, near) == [(1, one), (1, two), (None, three)]
+    assert kept(P.remove_benchmarks, [(None, item), (5, item), (5, two), (None, one)]) == [(5, two), (None, one)]
