@@ -54,7 +54,7 @@ def _patterns(labels_at_most: int, segments_at_most: int) -> Column:
     labels = F.split("host", r"\.")
     n = F.size(labels)
     lowest = F.greatest(n - labels_at_most + 1, F.lit(1))
-    highest = F.greatest(n - 1, F.lit(1))
+    highest = n
     parents = F.when(
         F.col("host").isNotNull() & (lowest <= highest),
         F.transform(

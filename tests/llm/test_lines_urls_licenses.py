@@ -173,3 +173,13 @@ def test_short_lines_and_lines_without_blanks_are_grouped(spark):
     found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     kept = {r["doc_id"]: r["text"] for r in found.collect()}
     assert kept == {1: rows[0][1], 2: "---\nof edti two", 3: "", 4: rows[3][1], 5: "", 6: rows[5][1]}
+
+
+def test_an_entry_of_one_label_holds_for_all_hosts_below_it(spark):
+    entries = spark.createDataFrame([("test", "block", "2024-01-01"), ("a.test", "allow", "2024-01-01")], "pattern string, action string, day string")
+    pages = spark.createDataFrame([(1, "http://x.b.test/"), (2, "http://x.a.test/"), (3, "http://x.org/")], "page_id long, url string")
+    found = url_filter.filter_urls(
+        pages.withColumn("fetched_at", F.lit("2024-02-01").cast("date")),
+        entries.select("pattern", "action", F.col("day").cast("date").alias("listed_at")),
+    )
+    assert {(r["page_id"], r["blocked"]) for r in found.collect()} == {(1, True), (2, False), (3, False)}
