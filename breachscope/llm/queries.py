@@ -18,6 +18,7 @@ from breachscope.llm import (
     sharding,
     suffixes,
     url_filter,
+    whitening,
 )
 
 
@@ -130,6 +131,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
 _TEXT = "coalesce(text, '')"
 
 _OP3 = f"""
@@ -229,6 +235,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_language_id": op10_language_id,
+        "op13_whitening": op13_whitening,
     }
 
 
