@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
 
@@ -73,6 +74,21 @@ def blocks(rows: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, i
         yield start, len(rows)
 
 
+def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Where each block of rows starts, and its rows as UTF-8 bytes (null is empty).
+    Only one block at a time becomes Python objects."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(column):
+        held = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, held + limit, "right")))
+        yield start, byte_rows(column.slice(start, stop - start))
+        start = stop
+
+
 class Prefix:
     """Polynomial hashes of any span of a buffer, from one running sum."""
 

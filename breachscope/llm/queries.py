@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from breachscope.llm import (
+    best_fit,
     decontamination,
     exact_dedup,
     jaccard,
@@ -109,10 +110,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Rule(4, 85, 100))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +132,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return whitening.whiten(rows, whitening.fit(rows))
@@ -235,6 +241,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_language_id": op10_language_id,
+        "op12_best_fit": op12_best_fit,
         "op13_whitening": op13_whitening,
     }
 
