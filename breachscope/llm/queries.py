@@ -11,6 +11,7 @@ from breachscope.llm import (
     best_fit,
     decontamination,
     exact_dedup,
+    hard_negatives,
     jaccard,
     language,
     licenses,
@@ -132,6 +133,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth row asks; every seventh row's label is moved on by one first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
@@ -198,6 +206,30 @@ FROM c LEFT JOIN best b ON b.page_id=c.page_id AND b.n=1
 """
 
 
+_OP11 = """
+WITH r AS (
+ SELECT vec_id, CASE WHEN vec_id%7=0 THEN (label+1)%10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256*CAST(x AS DOUBLE))) AS q
+ FROM embeddings
+ WHERE label IS NOT NULL AND len(embedding)>0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x)))=0
+), s AS (
+ SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label=b.label AS same,
+  CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+ FROM r a JOIN r b ON a.vec_id%100=0 AND a.vec_id<>b.vec_id
+), p AS (
+ SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id)<=5
+)
+SELECT anchor_id, positive_id,
+ CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank,
+ id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30*positive_score<=100*score AND 100*score<=90*positive_score
+QUALIFY rank<=10
+"""
+
+
 def _licence_sql() -> str:
     """The same canonical form in the second engine's functions."""
 
@@ -241,6 +273,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_language_id": op10_language_id,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_best_fit": op12_best_fit,
         "op13_whitening": op13_whitening,
     }
@@ -251,4 +284,5 @@ def texts() -> dict[str, str]:
         "op1_url_filter": _OP1,
         "op3_exact_dedup": _OP3,
         "op4_license_scan": _licence_sql(),
+        "op11_hard_negatives": _OP11,
     }
