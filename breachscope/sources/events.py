@@ -6,19 +6,44 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from breachscope import schema as S
 from breachscope.operators.cleaning import ROW_ORDER, null_tokens
 from breachscope.sources.csv_format import file_headers, read_text_columns
 
 
+# Above this number of files their paths stay in the order key.
+NUMBERED_FILES = 100_000
+
+
+def _numbered(events: DataFrame, files: list[str]) -> DataFrame:
+    """The path in the order key as the number of the file, in the order of the names.
+
+    The key travels with every event, twice in the collapse: a whole number of four
+    bytes does instead of a path.
+    """
+    spark, key = events.sparkSession, F.col(ROW_ORDER)
+    if len(files) > NUMBERED_FILES:
+        return events
+    if len(files) == 1:
+        return events.withColumn(ROW_ORDER, key.withField("file", F.lit(0)))
+    # Paths in metadata are percent-encoded, those of the listing are not.
+    kind = T.StructType([T.StructField("_path", T.StringType()), T.StructField("_number", T.IntegerType())])
+    numbers = spark.createDataFrame(list(zip(files, range(len(files)), strict=True)), kind)
+    joined = events.join(F.broadcast(numbers), F.url_decode(F.replace(key["file"], F.lit("+"), F.lit("%2B"))) == F.col("_path"), "left")
+    unlisted = F.raise_error(F.concat(F.lit("not among the listed files: "), key["file"]))
+    number = F.coalesce("_number", unlisted.cast("int"))
+    return joined.select(*[c for c in events.columns if c != ROW_ORDER], key.withField("file", number).alias(ROW_ORDER))
+
+
 def read_event_log(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """All columns as text, "no value" tokens as null, plus the order of the rows.
 
     Columns are taken by name from the header of each file: files of one log may order
     them differently, but all must have the same ones. The order key is the place of a
-    row: its file by name, the split it came from and its position there. ``multiline``
-    is explained in ``csv_format``.
+    row: the number of its file by name, the split it came from and its position there.
+    ``multiline`` is explained in ``csv_format``.
     """
     headers = file_headers(spark, path)
     parts = []
@@ -42,4 +67,5 @@ def read_event_log(spark: SparkSession, path: str, multiline: bool = True) -> Da
                 ).alias(ROW_ORDER),
             )
         )
-    return null_tokens(reduce(DataFrame.unionByName, parts))
+    listed = sorted(file for files in headers.values() for file in files)
+    return null_tokens(_numbered(reduce(DataFrame.unionByName, parts), listed))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from breachscope import schema as S
 from breachscope.functions import expressions as E
 from breachscope.sources.csv_format import WRITE_OPTIONS, read_text_columns, single_header
-from breachscope.sources.replace import remove, sibling, swap_in
+from breachscope.sources.replace import current, new_version, publish, remove
 
 # Columns the service-level reports cannot do without.
 REPORT_COLUMNS = [
@@ -59,28 +59,30 @@ def write_incidents(
 ) -> int:
     """Write the incidents and return how many rows were written.
 
-    A table that is there already is replaced only once the new one is complete.
+    A table that is there already is replaced only once the new one is complete, and
+    readers that have opened it finish.
     """
     spark = incidents.sparkSession
-    staged = sibling(path, "new")
+    staged = new_version(path)
     try:
         rows = _write_new(incidents, staged, file_format, partition_by)
     except Exception:
         remove(spark, staged)
         raise
-    swap_in(spark, staged, path)
+    publish(spark, staged, path)
     return rows
 
 
 def read_incidents(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
-    """The stored table. Sorting is for presentation and costs a global sort."""
-    table = spark.read.schema(S.INCIDENT_SCHEMA).parquet(path).select(*S.INCIDENT_COLUMNS)
+    """The newest version of the stored table. Sorting is for presentation and costs a
+    global sort."""
+    table = spark.read.schema(S.INCIDENT_SCHEMA).parquet(current(spark, path)).select(*S.INCIDENT_COLUMNS)
     return table.orderBy("number") if ordered else table
 
 
 def check_header(spark: SparkSession, path: str) -> list[str]:
     """Fail unless the CSV at ``path`` has exactly the fixed columns in order."""
-    names = single_header(spark, path)
+    names = single_header(spark, current(spark, path))
     if names != S.INCIDENT_COLUMNS:
         raise ValueError(
             f"not an incident table: the header of {path} is {names}, but must be {S.INCIDENT_COLUMNS}"
@@ -111,11 +113,12 @@ def read_incidents_csv(
 ) -> DataFrame:
     """A cleaned CSV with its types. Empty fields are null; dates may be ISO or
     day-first. Columns outside the fixed list stay text."""
-    names = single_header(spark, path)
+    files = current(spark, path)
+    names = single_header(spark, files)
     missing = [name for name in required if name not in names]
     if missing:
         raise ValueError(f"{path} lacks columns: " + ", ".join(missing))
-    raw = read_text_columns(spark, path, names, multiline)
+    raw = read_text_columns(spark, files, names, multiline)
     fields = {field.name: field for field in S.INCIDENT_SCHEMA}
     columns = []
     for name in names:
@@ -145,12 +148,12 @@ def load_incidents_table(
 ) -> int:
     """Replace the stored table by the content of a cleaned CSV, as a whole or not at all.
 
-    The new table is written next to the old one and takes its place only when the
+    The new version is written beside the old one and published only when the
     header is right, every value fits its column, every row has a number of its own
     and, where given, the number of rows is ``expected_rows``.
     """
     names = check_header(spark, csv_path)
-    staged = sibling(table_path, "new")
+    staged = new_version(table_path)
     try:
         rows = _write_new(
             read_incidents_csv(spark, csv_path, names, multiline), staged, "parquet", partition_by
@@ -165,5 +168,5 @@ def load_incidents_table(
     except Exception:
         remove(spark, staged)
         raise
-    swap_in(spark, staged, table_path)
+    publish(spark, staged, table_path)
     return rows

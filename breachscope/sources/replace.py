@@ -1,4 +1,12 @@
-"""Replace a stored table as a whole or not at all."""
+"""Tables that stay readable while they are replaced.
+
+A table is a folder of versions and of markers. A version is complete before its
+marker, an empty file named by number and version, is made; readers take the version
+of the highest marker. Nothing is renamed, so it is the same on stores whose renames
+copy. The version before the newest stays, for readers that opened it.
+
+    table/_versions/<id>/...     table/_markers/<number>.<id>
+"""
 
 from __future__ import annotations
 
@@ -6,10 +14,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-
-def sibling(path: str, what: str) -> str:
-    """A new folder next to ``path``."""
-    return f"{path.rstrip('/')}.{what}-{uuid.uuid4().hex}"
+_VERSIONS = "_versions"
+_MARKERS = "_markers"
+KEPT_VERSIONS = 2
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -23,22 +30,57 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(to_path(path), True)
 
 
-def swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    """Put ``staged`` in the place of ``target``.
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    files, to_path = _file_system(spark, folder)
+    if not files.exists(to_path(folder)):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(to_path(folder))]
+
+
+def _markers(spark: SparkSession, path: str) -> list[str]:
+    """Names of the markers, oldest first; other files are none."""
+    return sorted(n for n in _names(spark, f"{path.rstrip('/')}/{_MARKERS}") if n.partition(".")[0].isdigit())
+
+
+def _version(path: str, marker: str) -> str:
+    return f"{path.rstrip('/')}/{_VERSIONS}/{marker.partition('.')[2]}"
+
 
-    The old table is renamed aside, the new one renamed to its place, and the old one
-    removed. If the second rename fails the old table goes back. A reader that comes
-    between the two renames finds no table; none finds a half-written one. On stores
-    whose renames copy, prefer versioned folders and a pointer.
+def new_version(path: str) -> str:
+    """A folder for a version that no reader sees yet."""
+    return f"{path.rstrip('/')}/{_VERSIONS}/{uuid.uuid4().hex}"
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder that holds the newest version; ``path`` itself for a plain folder."""
+    markers = _markers(spark, path)
+    return _version(path, markers[-1]) if markers else path
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Make the complete version ``staged`` the one that readers take from now on.
+
+    Of earlier versions the last one stays until the next call; older ones, and what
+    a plain folder held before it had versions, go. Versions that were staged and never
+    published belong to a load that runs or was killed and are left alone: see ``sweep``.
     """
-    files, to_path = _file_system(spark, target)
-    old = sibling(target, "old")
-    had_one = files.exists(to_path(target))
-    if had_one and not files.rename(to_path(target), to_path(old)):
-        raise OSError(f"cannot move {target} aside")
-    if not files.rename(to_path(staged), to_path(target)):
-        if had_one:
-            files.rename(to_path(old), to_path(target))
-        raise OSError(f"cannot move the new table to {target}")
-    if had_one:
-        files.delete(to_path(old), True)
+    files, to_path = _file_system(spark, path)
+    markers = _markers(spark, path)
+    number = int(markers[-1].partition(".")[0]) + 1 if markers else 1
+    marker = f"{number:012d}.{staged.rstrip('/').rpartition('/')[2]}"
+    files.create(to_path(f"{path.rstrip('/')}/{_MARKERS}/{marker}"), False).close()
+    if markers:
+        for name in _names(spark, path):
+            if name not in (_VERSIONS, _MARKERS):
+                remove(spark, f"{path.rstrip('/')}/{name}")
+    for old in [*markers, marker][:-KEPT_VERSIONS]:
+        remove(spark, f"{path.rstrip('/')}/{_MARKERS}/{old}")
+        remove(spark, _version(path, old))
+
+
+def sweep(spark: SparkSession, path: str) -> None:
+    """Remove versions without a marker. Call it only while no load runs."""
+    marked = {m.partition(".")[2] for m in _markers(spark, path)}
+    for name in _names(spark, f"{path.rstrip('/')}/{_VERSIONS}"):
+        if name not in marked:
+            remove(spark, f"{path.rstrip('/')}/{_VERSIONS}/{name}")
