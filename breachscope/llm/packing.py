@@ -14,7 +14,6 @@ the ids join that by row.
 
 from __future__ import annotations
 
-import sys
 import zlib
 from collections.abc import Iterator
 
@@ -23,111 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from breachscope.llm import kernel
+from breachscope.llm import kernel, tokens
 from breachscope.session import settle
 
 SEQUENCE_TOKENS = 4096
 DIMENSIONS = 3
 BITS = 10  # cells per dimension: 2**BITS
 _HASHED = 4096  # length of the hashed word-count vector
-_CACHED_UNITS = 400_000
-
-_SENTINEL = "<|endoftext|>"
-
-# Byte classes for cutting a word into units: ASCII letters, and ASCII signs and
-# digits other than the apostrophe. The tokenizer's own word pattern always cuts
-# between the two, so units can be encoded on their own.
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_SIGN = np.zeros(256, bool)
-_SIGN[33:127] = True
-_SIGN &= ~_LETTER
-_SIGN[39] = False
-
-
-class UnitEncoder:
-    """Token ids of whole texts, with each distinct unit encoded only once per worker."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._sentinel_id = self._tokenizer.token_to_id(_SENTINEL)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._hashes = np.zeros(0, np.uint64)
-        self._starts = np.zeros(0, np.int64)
-        self._counts = np.zeros(0, np.int64)
-        self._pool = [np.zeros(0, np.uint16)]
-        self._pooled = 0
-
-    def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [_SENTINEL.join(units[i : i + 200]) for i in range(0, len(units), 200)]
-        coded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.concatenate([np.array([*c.ids, self._sentinel_id], np.int64) for c in coded])
-        ends = np.flatnonzero(ids == self._sentinel_id)
-        if len(ends) != len(units):
-            raise ValueError("the tokenizer did not keep the units apart")
-        counts = np.diff(np.concatenate(([-1], ends))) - 1
-        return ids[ids != self._sentinel_id].astype(np.uint16), counts
-
-    def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
-        ids, counts = self._encode(units)
-        starts = self._pooled + np.cumsum(counts) - counts
-        self._pool.append(ids)
-        self._pooled += len(ids)
-        at = np.searchsorted(self._hashes, hashes)
-        self._hashes = np.insert(self._hashes, at, hashes)
-        self._starts = np.insert(self._starts, at, starts)
-        self._counts = np.insert(self._counts, at, counts)
-
-    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self._hashes, hashes)
-        at[at == len(self._hashes)] = 0
-        known = self._hashes[at] == hashes if len(self._hashes) else np.zeros(len(hashes), bool)
-        return at, known
-
-    def encode(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, kernel.Words]:
-        """Token ids of all rows joined, the count for each row, and the words."""
-        words = kernel.Words(rows)
-        data = words.bytes
-        # Cut the words where a letter meets a sign.
-        cut = np.flatnonzero(
-            (_LETTER[data[:-1]] & _SIGN[data[1:]]) | (_SIGN[data[:-1]] & _LETTER[data[1:]])
-        )
-        starts = np.sort(np.concatenate((words.starts, cut + 1)))
-        ends = np.sort(np.concatenate((words.ends, cut + 1)))
-        hashes = kernel.Prefix(data).spans(starts, ends)
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self._hashes) > _CACHED_UNITS:
-            self._forget()
-        at, known = self._find(distinct)
-        if not known.all():
-            new = np.flatnonzero(~known)
-            raw = data.tobytes()
-            units = [
-                raw[a:b].decode("utf-8", "replace")
-                for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            ]
-            self._learn(distinct[new], units)
-            at, known = self._find(distinct)
-        if len(self._pool) > 1:
-            self._pool = [np.concatenate(self._pool)]
-        counts = self._counts[at][back] if len(distinct) else np.zeros(0, np.int64)
-        begin = self._starts[at][back] if len(distinct) else np.zeros(0, np.int64)
-        ids = self._pool[0][kernel.ranges(begin, counts)]
-        bounds = np.searchsorted(starts, words.row_start)
-        total = np.concatenate(([0], np.cumsum(counts)))
-        return ids, np.diff(total[bounds]), words
-
-
-def unit_encoder(path: str) -> UnitEncoder:
-    """The encoder of this Python worker; it outlives the task, with what it has learnt."""
-    kept = vars(sys).setdefault("_breachscope_unit_encoders", {})
-    if path not in kept:
-        kept[path] = UnitEncoder(path)
-    return kept[path]
+_BLOCK_BYTES = 1 << 19
 
 
 def projection(dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -187,15 +89,17 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
     """``key, doc_id, doc_tokens, ids``; ids are little-endian unsigned 16-bit numbers."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, directions = unit_encoder(tokenizer), projection()
+        encoder, directions = tokens.unit_encoder(tokenizer), projection()
+        if np.dtype(encoder.id_type).itemsize != 2:
+            raise ValueError("ids of this tokenizer do not fit 16 bits")
+        closing = int(end_id).to_bytes(2, "little")
         for batch in batches:
-            rows = kernel.byte_rows(batch.column(1))
-            for a, b in kernel.blocks(rows):
-                ids, counts, words = encoder.encode(rows[a:b])
+            for a, rows in kernel.text_blocks(batch.column(1), _BLOCK_BYTES):
+                words = kernel.Words(rows)
+                ids, counts = encoder.encode(rows, tokens.word_units(words))
                 keys = curve_keys(words, directions)
                 ends = np.cumsum(counts)
                 raw = ids.astype("<u2").tobytes()
-                closing = int(end_id).to_bytes(2, "little")
                 packed = [
                     raw[2 * (e - c) : 2 * e] + closing
                     for e, c in zip(ends.tolist(), counts.tolist(), strict=True)
@@ -203,7 +107,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys),
-                        batch.column(0).slice(a, b - a),
+                        batch.column(0).slice(a, len(rows)),
                         pa.array(counts + 1),
                         pa.array(packed, pa.binary()),
                     ],
@@ -226,10 +130,11 @@ def pack(
 
     ``tokenizer`` is the path of a tokenizer file that every executor can open. A
     document is its token ids and ``end_id``; null text is empty and so is one piece
-    of one token. Equal keys follow the id; rows with equal key and id are alike or
-    follow their ids. An empty input gives an empty result.
+    of one token. Equal keys follow the id, null first; rows with equal key and id are
+    alike or follow their ids. An empty input gives an empty result. A tokenizer of
+    more than 65,536 ids is refused.
     """
-    tokens = settle(
+    made = settle(
         tokenized(docs, tokenizer, end_id, id_col, text_col).withColumn(
             "place", F.monotonically_increasing_id()
         )
@@ -237,7 +142,7 @@ def pack(
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # Equal texts have one key; id and place split them over range partitions.
     ordered = settle(
-        tokens.select("key", "doc_id", "place", "doc_tokens")
+        made.select("key", "doc_id", "place", "doc_tokens")
         .repartitionByRange(parts, "key", "doc_id", "place")
         .sortWithinPartitions("key", "doc_id", "place")
         .withColumn("part", F.spark_partition_id())
@@ -254,7 +159,7 @@ def pack(
         .join(F.broadcast(first), F.col("part") == F.col("of_part"))
         .select(F.col("place").alias("of_place"), (F.col("first_token") + F.col("earlier")).alias("from"))
     )
-    placed = tokens.join(starts, F.col("place") == F.col("of_place")).select(
+    placed = made.join(starts, F.col("place") == F.col("of_place")).select(
         "doc_id", "doc_tokens", "from", "ids"
     )
     return _cut(placed, length)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from breachscope.llm import decontamination, kernel, language, packing
+from breachscope.llm import decontamination, kernel, language, packing, tokens
 from breachscope.llm.queries import tokenizer_path
 from tests.llm.conftest import WORDS, prose
 
@@ -128,9 +128,7 @@ def test_the_curve_visits_every_cell_once_and_moves_one_step():
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def test_units_give_the_ids_of_the_whole_text(tokenizer):
@@ -141,19 +139,21 @@ def test_units_give_the_ids_of_the_whole_text(tokenizer):
         "日本語テキスト 漢字 123१२३ ½ ﬁ Ω K İstanbul ΣΑΣ", "", "\x00\x01\x7f", "👍🏽 emoji👩‍👩‍👧 x≮y",
         "https://a.example.com/x?y=1&z=%20#t " * 5, "Ab1cd2'3e '' '",
     ]
-    encoder = packing.UnitEncoder(tokenizer_path())
+    encoder = tokens.UnitEncoder(tokenizer_path())
+    raw = [r.encode() for r in rows]
     for _ in range(2):  # the second time from the cache
-        ids, counts, _ = encoder.encode([r.encode() for r in rows])
+        ids, counts = encoder.encode(raw, tokens.word_units(kernel.Words(raw)))
         parts = np.split(ids, np.cumsum(counts)[:-1])
         assert [p.tolist() for p in parts] == [tokenizer.encode(r, add_special_tokens=False).ids for r in rows]
 
 
 def test_an_emptied_cache_learns_again(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "_CACHED_UNITS", 5)
-    encoder = packing.UnitEncoder(tokenizer_path())
+    monkeypatch.setattr(tokens, "CACHED_UNITS", 5)
+    encoder = tokens.UnitEncoder(tokenizer_path())
     for seed in range(5):
         text = prose(seed, 30) + " the same words " + prose(0, 10)
-        ids, counts, _ = encoder.encode([text.encode()])
+        raw = [text.encode()]
+        ids, counts = encoder.encode(raw, tokens.word_units(kernel.Words(raw)))
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids and counts[0] == len(ids)
 
 
