@@ -41,16 +41,22 @@ def exact_percentiles(
     keys: Sequence[str],
     wanted: Mapping[str, tuple[str, float]],
     weight: str | None = None,
+    plain: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """One row per key with each ``output -> (value column, fraction)`` of ``wanted``.
 
+    ``plain`` adds figures of the same counted values, ``output -> (value column,
+    "count", "mean", "min" or "max")``, so that ``df`` is read once for both; they are
+    doubles, and null where a key has no value in that column.
+
     Linear interpolation between the two neighbouring ranks; null values are
     skipped; null keys form a group of their own. Groups without any value do
     not appear. ``weight`` names a column of whole row counts for inputs that
     are already aggregated. Without keys the result is a single row, which is
     null throughout for an empty input.
     """
-    values = list(dict.fromkeys(column for column, _ in wanted.values()))
+    plain = plain or {}
+    values = list(dict.fromkeys(column for column, _ in [*wanted.values(), *plain.values()]))
     group = F.struct(*keys) if keys else F.lit(0)
     times = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     if len(values) == 1:
@@ -80,12 +86,22 @@ def exact_percentiles(
 
     whole = Window.partitionBy("_g", "_m")
     earlier = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    kinds = {kind for _, kind in plain.values()}
+    sums = [F.sum(F.col("_v") * F.col("_n")).alias("_sum")] if "mean" in kinds else []
     ranges = (
         cells.groupBy("_g", "_m", "_r")
-        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), *sums)
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("_total", F.sum("_n").over(whole))
     )
+    figures = {
+        "count": lambda: F.col("_total").cast("double"),
+        "mean": lambda: F.sum("_sum").over(whole) / F.col("_total"),
+        "min": lambda: F.min("_low").over(whole),
+        "max": lambda: F.max("_high").over(whole),
+    }
+    ranges = ranges.withColumns({f"_{kind}": figures[kind]() for kind in sorted(kinds)})
+    carried = ["_total", *(f"_{kind}" for kind in sorted(kinds))]
 
     def position(fraction: float) -> Column:
         return F.lit(fraction) * (F.col("_total") - 1).cast("double")
@@ -102,6 +118,8 @@ def exact_percentiles(
     by_metric: dict[int, set[float]] = {}
     for metric, fraction in requests.values():
         by_metric.setdefault(metric, set()).add(fraction)
+    for column, _ in plain.values():  # some row of each group must reach the end
+        by_metric.setdefault(values.index(column), {0.0})
 
     def any_rank(start: Column) -> Column:
         tests = []
@@ -111,7 +129,7 @@ def exact_percentiles(
         return reduce(lambda a, b: a | b, tests)
 
     needed = ranges.where(any_rank(F.col("_before"))).select(
-        "_g", "_m", "_r", "_before", "_total", "_low", "_high"
+        "_g", "_m", "_r", "_before", *carried, "_low", "_high"
     )
 
     def start_in(window) -> Column:
@@ -122,16 +140,16 @@ def exact_percentiles(
     step = F.when(F.col("_high") > F.col("_low"), F.floor(share * F.lit(float(_STEPS))))
     stepped = cells.join(needed, ["_g", "_m", "_r"]).withColumn("_s", F.coalesce(step, F.lit(0)))
     steps = stepped.groupBy("_g", "_m", "_r", "_s").agg(
-        F.sum("_n").alias("_n"), F.first("_before").alias("_before"), F.first("_total").alias("_total")
+        F.sum("_n").alias("_n"), *[F.first(c).alias(c) for c in ("_before", *carried)]
     )
     needed_steps = (
         steps.withColumn("_first", start_in(Window.partitionBy("_g", "_m", "_r").orderBy("_s")))
         .where(any_rank(F.col("_first")))
-        .select("_g", "_m", "_r", "_s", F.col("_first").alias("_before"), "_total")
+        .select("_g", "_m", "_r", "_s", F.col("_first").alias("_before"), *carried)
     )
-    values = stepped.select("_g", "_m", "_r", "_s", "_v", "_n")
     ranked = (
-        values.join(needed_steps, ["_g", "_m", "_r", "_s"])
+        stepped.select("_g", "_m", "_r", "_s", "_v", "_n")
+        .join(needed_steps, ["_g", "_m", "_r", "_s"])
         .withColumn("_start", start_in(Window.partitionBy("_g", "_m", "_r", "_s").orderBy("_v")))
         .where(any_rank(F.col("_start")))
     )
@@ -146,6 +164,9 @@ def exact_percentiles(
             F.max(F.when(here & high, F.col("_v"))).alias(f"{output}_high"),
             F.max(F.when(here, where - F.floor(where))).alias(f"{output}_part"),
         ]
+    for output, (column, kind) in plain.items():
+        here = F.col("_m") == values.index(column)
+        picks.append(F.max(F.when(here, F.col(f"_{kind}"))).alias(output))
     grouped = ranked.groupBy("_g").agg(*picks) if keys else ranked.agg(*picks)
     results = [
         (
@@ -155,7 +176,7 @@ def exact_percentiles(
         for output in requests
     ]
     labels = [F.col("_g").getField(key).alias(key) for key in keys]
-    return grouped.select(*labels, *results)
+    return grouped.select(*labels, *results, *plain)
 
 
 def with_percentiles(

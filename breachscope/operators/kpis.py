@@ -46,23 +46,23 @@ def kpi_overall(incidents: DataFrame) -> DataFrame:
 
 
 def _figures(
-    df: DataFrame, plain: Mapping[str, Column], wanted: Mapping[str, tuple[str, float]]
+    df: DataFrame, plain: Mapping[str, tuple[str, str]], wanted: Mapping[str, tuple[str, float]]
 ) -> DataFrame:
-    """One row of plain aggregates followed by exact percentiles.
+    """One row of plain figures followed by exact percentiles, in one pass over ``df``.
 
-    Both sides are one-row aggregates, so the second is read as a scalar.
+    The largest value keeps the type of its column.
     """
-    row = exact_percentiles(df, [], wanted).select(F.struct(*wanted).alias("_row"))
-    totals = df.agg(*[aggregate.alias(name) for name, aggregate in plain.items()])
-    return totals.withColumn("_row", row.scalar()).select(
-        *plain, *[F.col(f"_row.{name}").alias(name) for name in wanted]
+    row = exact_percentiles(df, [], wanted, plain=plain)
+    types = {name: df.schema[column].dataType for name, (column, kind) in plain.items() if kind == "max"}
+    return row.select(
+        *[F.col(name).cast(types[name]).alias(name) if name in types else name for name in plain], *wanted
     )
 
 
 def kpi_resolution(incidents: DataFrame) -> DataFrame:
     return _figures(
         incidents,
-        {"mean_resolution_hours": F.avg(_RESOLUTION)},
+        {"mean_resolution_hours": (_RESOLUTION, "mean")},
         {
             "median_resolution_hours": (_RESOLUTION, 0.50),
             "p90_resolution_hours": (_RESOLUTION, 0.90),
@@ -82,7 +82,7 @@ def closure_lag(incidents: DataFrame) -> DataFrame:
 def kpi_closure(incidents: DataFrame) -> DataFrame:
     return _figures(
         closure_lag(incidents),
-        {"mean_closure_hours": F.avg("closure_time_hours")},
+        {"mean_closure_hours": ("closure_time_hours", "mean")},
         {
             "median_closure_hours": ("closure_time_hours", 0.50),
             "p90_closure_hours": ("closure_time_hours", 0.90),
@@ -97,7 +97,7 @@ def kpi_reassignment(incidents: DataFrame) -> DataFrame:
     column = "reassignment_count"
     return _figures(
         incidents,
-        {"mean_reassignments": F.avg(column), "max_reassignments": F.max(column)},
+        {"mean_reassignments": (column, "mean"), "max_reassignments": (column, "max")},
         {
             "median_reassignments": (column, 0.50),
             "p90_reassignments": (column, 0.90),
@@ -110,7 +110,7 @@ def kpi_reopen(incidents: DataFrame) -> DataFrame:
     column = "reopen_count"
     return _figures(
         incidents,
-        {"mean_reopens": F.avg(column), "max_reopens": F.max(column)},
+        {"mean_reopens": (column, "mean"), "max_reopens": (column, "max")},
         {"median_reopens": (column, 0.50), "p90_reopens": (column, 0.90)},
     )
 

@@ -164,22 +164,32 @@ def check_reference(reference: DataFrame) -> int:
     return facts["bytes"]
 
 
+def _joined_rates(df: DataFrame, reference: DataFrame, small: bool) -> DataFrame:
+    for column, label, prefix in S.RISK_FACTORS:
+        rates = reference.where(F.col("factor_type") == label).select(
+            F.col("factor_value").alias(column), F.col("breach_rate").alias(rate_column(prefix))
+        )
+        df = df.join(F.broadcast(rates) if small else rates, column, "left")
+    return df
+
+
 def lookup_rates(
     df: DataFrame, reference: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add the four historical rates; values without a reference get null.
 
     The reference is measured first. While it is small each lookup is a
-    broadcast join and ``df`` is never shuffled. Beyond that size the joins are
-    left to adaptive execution, which splits the partitions of hot values.
+    broadcast join and ``df`` is never shuffled. Beyond that size the rates are looked
+    up for each distinct combination of factors, and the combinations are joined once:
+    ``df`` is shuffled once instead of four times, and by combinations, whose hot values
+    adaptive execution splits, instead of by single factors that are often null.
     """
-    small = check_reference(reference) <= broadcast_bytes
-    for column, label, prefix in S.RISK_FACTORS:
-        rates = reference.where(F.col("factor_type") == label).select(
-            F.col("factor_value").alias(column), F.col("breach_rate").alias(rate_column(prefix))
-        )
-        df = df.join(F.broadcast(rates) if small else rates, column, "left")
-    return df
+    if check_reference(reference) <= broadcast_bytes:
+        return _joined_rates(df, reference, small=True)
+    factors = F.struct(*S.FACTOR_COLUMNS)  # null equals null inside
+    combinations = _joined_rates(df.select(*S.FACTOR_COLUMNS).distinct(), reference, small=False)
+    looked_up = combinations.select(factors.alias("_factors"), *RATE_COLUMNS)
+    return df.withColumn("_of", factors).join(looked_up, F.col("_of") == F.col("_factors")).drop("_of", "_factors")
 
 
 def score(df: DataFrame, baseline: float = S.RISK_BASELINE_RATE) -> DataFrame:
@@ -229,7 +239,8 @@ def profile_scores(
     The summaries below give the same result on this frame, weighted by
     ``incident_count``, as on the scores of all incidents.
     """
-    return score(lookup_rates(profile, reference, broadcast_bytes), baseline)
+    small = check_reference(reference) <= broadcast_bytes
+    return score(_joined_rates(profile, reference, small), baseline)
 
 
 # ------------------------------------------------------------------ summaries

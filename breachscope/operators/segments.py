@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from breachscope import schema as S
 from breachscope.functions import expressions as E
-from breachscope.functions.percentiles import with_percentiles
+from breachscope.functions.percentiles import exact_percentiles, with_percentiles
+from breachscope.session import settle
 
 _RESOLUTION = "resolution_time_hours"
 _HOURS = {
@@ -31,8 +32,56 @@ def _measures() -> dict[str, Column]:
     }
 
 
+class SegmentCells:
+    """All that the segment tables need, from one pass over the incidents.
+
+    Incidents are counted by (dimension, value, hours) in a single aggregate over one
+    grouping set for each dimension. The cells are stored; counts and means are their
+    sums, and the percentiles of all dimensions come from one pass over them. The table
+    functions below take this in the place of the incidents. Every incident must have
+    one row (the collapse guarantees it and check ``v01`` verifies it).
+    """
+
+    KEYS = ("opened_month", "category", "priority", "reassignment_bucket", "assignment_group")
+
+    def __init__(self, incidents: DataFrame):
+        E.require_columns(incidents, [*_REQUIRED, "resolved_at", *self.KEYS])
+        self.columns = incidents.columns
+        by = [F.col(k) for k in (*self.KEYS, _RESOLUTION)]
+        sums = {name: c for name, c in _measures().items() if not name.startswith("mean_")}
+        sums |= {
+            "_moves": F.sum("reassignment_count"),
+            "_moved": F.count("reassignment_count"),
+            "_timed": F.count(_RESOLUTION),
+        }
+        cells = incidents.groupingSets([[c, by[-1]] for c in by[:-1]], *by).agg(
+            F.grouping_id().alias("_set"), *[c.alias(name) for name, c in sums.items()]
+        )
+        self.cells = settle(cells)
+        timed = self.cells.where(F.col(_RESOLUTION).isNotNull())
+        self.hours = settle(exact_percentiles(timed, ["_set", *self.KEYS], _HOURS, weight="_timed"))
+
+    def _of(self, frame: DataFrame, key: str) -> DataFrame:
+        """The rows of one dimension. The bit of a column is set where it is left out."""
+        bits = len(self.KEYS) + 1
+        this = (1 << bits) - 1 - (1 << (bits - 1 - self.KEYS.index(key))) - 1
+        return frame.where((F.col("_set") == this) & F.col(key).isNotNull())
+
+    def table(self, key: str, measures: Sequence[str], percentiles: bool = True) -> DataFrame:
+        """What ``segment_counts`` returns for ``unique_numbers``."""
+        means = {
+            "mean_reassignment_count": F.sum("_moves") / F.sum("_moved"),
+            "mean_resolution_hours": F.sum(F.col(_RESOLUTION) * F.col("_timed")) / F.sum("_timed"),
+        }
+        figures = [means.get(m, F.sum(m)).alias(m) for m in measures]
+        summary = self._of(self.cells, key).groupBy(key).agg(*figures)
+        if not percentiles:
+            return summary.withColumns({name: F.lit(None).cast("double") for name in _HOURS})
+        return summary.join(self._of(self.hours, key).select(key, *_HOURS), key, "left")
+
+
 def segment_counts(
-    incidents: DataFrame,
+    incidents: DataFrame | SegmentCells,
     key: str,
     measures: Sequence[str],
     unique_numbers: bool = False,
@@ -47,6 +96,8 @@ def segment_counts(
     has one row per incident (the collapse guarantees it and check ``v01``
     verifies it), which saves the extra shuffle on ``(key, number)``.
     """
+    if isinstance(incidents, SegmentCells):
+        return incidents.table(key, measures, percentiles)
     keyed = incidents.where(F.col(key).isNotNull())
     known = _measures()
     summary = keyed.groupBy(key).agg(*[known[m].alias(m) for m in measures])
@@ -103,7 +154,7 @@ def _worst_first(df: DataFrame, key: str) -> DataFrame:
 
 
 def sla_category(
-    incidents: DataFrame,
+    incidents: DataFrame | SegmentCells,
     min_sample: int = S.MIN_SEGMENT_SAMPLE,
     unique_numbers: bool = False,
     percentiles: bool = True,
@@ -118,7 +169,7 @@ def sla_category(
 
 
 def sla_priority(
-    incidents: DataFrame, unique_numbers: bool = False, percentiles: bool = True
+    incidents: DataFrame | SegmentCells, unique_numbers: bool = False, percentiles: bool = True
 ) -> DataFrame:
     E.require_columns(incidents, [*_REQUIRED, "priority"])
     measures = ["incident_count", "sla_breaches", "reassigned_incidents", "mean_reassignment_count"]
@@ -132,7 +183,7 @@ def sla_priority(
 
 
 def sla_reassignment(
-    incidents: DataFrame, unique_numbers: bool = False, percentiles: bool = True
+    incidents: DataFrame | SegmentCells, unique_numbers: bool = False, percentiles: bool = True
 ) -> DataFrame:
     E.require_columns(incidents, [*_REQUIRED, "reassignment_bucket"])
     measures = ["incident_count", "sla_breaches", "mean_reassignment_count"]
@@ -147,7 +198,9 @@ def sla_reassignment(
     )
 
 
-def reassignment_resolution(incidents: DataFrame, unique_numbers: bool = False) -> DataFrame:
+def reassignment_resolution(
+    incidents: DataFrame | SegmentCells, unique_numbers: bool = False
+) -> DataFrame:
     E.require_columns(incidents, ["number", "reassignment_bucket", "resolved_at", _RESOLUTION])
     measures = [
         "incident_count",
@@ -167,7 +220,7 @@ def reassignment_resolution(incidents: DataFrame, unique_numbers: bool = False)
 
 
 def sla_assignment_group(
-    incidents: DataFrame,
+    incidents: DataFrame | SegmentCells,
     min_sample: int = S.MIN_SEGMENT_SAMPLE,
     unique_numbers: bool = False,
     percentiles: bool = True,
@@ -190,7 +243,7 @@ def sla_assignment_group(
 
 
 def sla_monthly(
-    incidents: DataFrame,
+    incidents: DataFrame | SegmentCells,
     min_sample: int = S.MIN_SEGMENT_SAMPLE,
     unique_numbers: bool = False,
 ) -> DataFrame:

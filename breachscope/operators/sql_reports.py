@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from breachscope import schema as S
 from breachscope.functions import expressions as E
-from breachscope.functions.percentiles import exact_percentiles, with_percentiles
+from breachscope.functions.percentiles import exact_percentiles
 
 _RESOLUTION = "resolution_time_hours"
 _MET = "sla_met_incidents"
@@ -26,7 +26,6 @@ def _counts(*names: str) -> list[Column]:
         _MET: F.count_if("made_sla"),
         _BREACHED: F.count_if("sla_breached"),
         "resolved_incidents": F.count(_RESOLUTION),
-        "unresolved_incidents": F.count_if(F.col(_RESOLUTION).isNull()),
         "mean_resolution_hours": E.round_2dp(F.avg(_RESOLUTION)),
     }
     return [known[name].alias(name) for name in names]
@@ -86,35 +85,44 @@ def q03_reassignment_sla(incidents: DataFrame) -> DataFrame:
 
 
 def q04_resolution_distribution(incidents: DataFrame) -> DataFrame:
-    resolved = incidents.where(F.col(_RESOLUTION).isNotNull())
     wanted = {
         "median_resolution_hours": (_RESOLUTION, 0.50),
         "p90_resolution_hours": (_RESOLUTION, 0.90),
         "p95_resolution_hours": (_RESOLUTION, 0.95),
         "p99_resolution_hours": (_RESOLUTION, 0.99),
     }
-    row = exact_percentiles(resolved, [], wanted).select(F.struct(*wanted).alias("_row"))
-    totals = resolved.agg(*_counts("resolved_incidents", "mean_resolution_hours"))
-    return totals.withColumn("_row", row.scalar()).select(
-        "resolved_incidents",
-        "mean_resolution_hours",
-        *[E.round_2dp(F.col(f"_row.{name}")).alias(name) for name in wanted],
+    plain = {"resolved_incidents": (_RESOLUTION, "count"), "mean_resolution_hours": (_RESOLUTION, "mean")}
+    row = exact_percentiles(incidents, [], wanted, plain=plain)
+    return row.select(
+        _whole("resolved_incidents"),
+        *[E.round_2dp(F.col(name)).alias(name) for name in ("mean_resolution_hours", *wanted)],
     )
 
 
+def _whole(count: str) -> Column:
+    """A count of values that may be missing altogether."""
+    return F.coalesce(F.col(count).cast("bigint"), F.lit(0).cast("bigint")).alias(count)
+
+
 def q05_resolution_by_priority(incidents: DataFrame) -> DataFrame:
-    leveled = _by_priority_level(incidents)
-    counts = leveled.groupBy("priority_level").agg(
-        *_counts("incident_count", "resolved_incidents", "unresolved_incidents")
-    )
-    counts = counts.withColumn("unresolved_rate_pct", _rate("unresolved_incidents"))
     wanted = {
         "median_resolution_hours": (_RESOLUTION, 0.50),
         "p90_resolution_hours": (_RESOLUTION, 0.90),
     }
+    # Every incident has the second value, so that its count is that of incidents.
+    plain = {"incident_count": ("_any", "count"), "resolved_incidents": (_RESOLUTION, "count")}
+    leveled = _by_priority_level(incidents).withColumn("_any", F.lit(0.0))
     return (
-        with_percentiles(counts, leveled, ["priority_level"], wanted)
-        .withColumns({name: E.round_2dp(F.col(name)) for name in wanted})
+        exact_percentiles(leveled, ["priority_level"], wanted, plain=plain)
+        .select("priority_level", *[_whole(name) for name in plain], *wanted)
+        .withColumn("unresolved_incidents", F.col("incident_count") - F.col("resolved_incidents"))
+        .select(
+            "priority_level",
+            *plain,
+            "unresolved_incidents",
+            _rate("unresolved_incidents").alias("unresolved_rate_pct"),
+            *[E.round_2dp(F.col(name)).alias(name) for name in wanted],
+        )
         .orderBy(E.rank_in(F.col("priority_level"), _LEVELS))
     )
 

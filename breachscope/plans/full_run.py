@@ -64,20 +64,18 @@ def run_all(
     stored["incidents"] = incidents
     verify("incidents", C.v01_incidents(incidents, expected_rows))
 
-    once = {"unique_numbers": True}  # established by the collapse
-    monthly = keep("monthly_operational_performance", G.sla_monthly(incidents, min_sample, **once))
+    cells = G.SegmentCells(incidents)  # the collapse leaves one row per incident
+    monthly = keep("monthly_operational_performance", G.sla_monthly(cells, min_sample))
     verify("monthly", C.v05_monthly(monthly, incidents, min_sample))
-    category = keep("category_sla_performance", G.sla_category(incidents, min_sample, **once))
+    category = keep("category_sla_performance", G.sla_category(cells, min_sample))
     verify("category", C.v09_category(category, incidents, min_sample))
-    priority = keep("priority_sla_performance", G.sla_priority(incidents, **once))
+    priority = keep("priority_sla_performance", G.sla_priority(cells))
     verify("priority", C.v10_priority(priority, incidents))
-    buckets = keep("reassignment_sla_performance", G.sla_reassignment(incidents, **once))
+    buckets = keep("reassignment_sla_performance", G.sla_reassignment(cells))
     verify("reassignment", C.v11_reassignment(buckets, incidents))
-    resolution = keep(
-        "reassignment_resolution_performance", G.reassignment_resolution(incidents, **once)
-    )
+    resolution = keep("reassignment_resolution_performance", G.reassignment_resolution(cells))
     verify("resolution", C.v12_reassignment_resolution(resolution, incidents))
-    groups = keep("assignment_group_performance", G.sla_assignment_group(incidents, min_sample, **once))
+    groups = keep("assignment_group_performance", G.sla_assignment_group(cells, min_sample))
     verify("assignment_group", C.v13_assignment_group(groups, incidents, min_sample))
 
     classified = keep("assignment_group_bottleneck_analysis", B.bottlenecks(groups, strict))
