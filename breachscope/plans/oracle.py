@@ -6,6 +6,10 @@ compute every report on their own.
 
 from __future__ import annotations
 
+import re
+
+from breachscope.plans import faults
+
 _EVENTS = """
 WITH base AS (
  SELECT l.*, o.*,
@@ -372,7 +376,22 @@ _ROUND_TRIP = [
 ]
 
 
+def _with_faults(check: str, text: str) -> str:
+    """The SQL of a check with its frame replaced by the one with faults."""
+    table = faults.FAULTS[check][0]
+    at = re.search(r"SELECT '\w+' AS check_name", text).start()
+    body = re.sub(rf"\b{table}\b", f"{table}_faulty", text[at:])
+    return f"{text[:at].rstrip()}, {table}_faulty AS ({faults.planted_sql(check)}) {body}"
+
+
 def _check_texts() -> dict[str, str]:
+    found = _sound_check_texts()
+    for check in faults.FAULTS:
+        found[faults.query_name(check)] = _with_faults(check, found[check])
+    return found
+
+
+def _sound_check_texts() -> dict[str, str]:
     expected = "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"
     distinct = "count(*) - count(DISTINCT {})"
     return {
@@ -449,7 +468,7 @@ def _check_texts() -> dict[str, str]:
                      + ",".join(_CONTRIBUTIONS) + "])) > 1e-9"),
                     ("band_missing", "sla_risk_band IS NULL"),
                     ("band_unknown", "sla_risk_band NOT IN ('Low','Moderate','High','Critical')"),
-                    ("band_definition", "sla_risk_band <> (CASE WHEN sla_risk_score>=75 THEN 'Critical'"
+                    ("band_definition", "sla_risk_score IS NOT NULL AND sla_risk_band <> (CASE WHEN sla_risk_score>=75 THEN 'Critical'"
                      " WHEN sla_risk_score>=50 THEN 'High' WHEN sla_risk_score>=25 THEN 'Moderate' ELSE 'Low' END)"),
                     ("row_count", "=abs(count(*) - (SELECT count(*) FROM inc))"),
                     ("number_count", "=abs(count(DISTINCT number) - (SELECT count(DISTINCT number) FROM inc))"),
@@ -472,7 +491,7 @@ def _check_texts() -> dict[str, str]:
             (
                 "por",
                 [
-                    ("band_set", "=abs(count(*)-4) + 4 - count(DISTINCT sla_risk_band)"),
+                    ("band_set", "=abs(count(*)-4) + 4 - count(DISTINCT sla_risk_band) FILTER (WHERE sla_risk_band IN ('Low','Moderate','High','Critical'))"),
                     ("negative_counts", "incident_count<0"),
                     ("share_range", "incident_share_pct<0 OR incident_share_pct>100"),
                     ("share_total", "=CASE WHEN abs(sum(incident_share_pct)-100)>1e-6 THEN 1 ELSE 0 END"),
@@ -487,7 +506,7 @@ def _check_texts() -> dict[str, str]:
                 "con",
                 [
                     ("unknown_dimensions", "dimension NOT IN ('Priority','Reassignment Bucket','Category','Assignment Group')"),
-                    ("missing_dimensions", "=4 - count(DISTINCT dimension)"),
+                    ("missing_dimensions", "=4 - count(DISTINCT dimension) FILTER (WHERE dimension IN ('Priority','Reassignment Bucket','Category','Assignment Group'))"),
                     ("duplicate_values", "=count(*) - count(DISTINCT (dimension, dimension_value))"),
                     *[(f"{c}_negative", f"{c}<0") for c in
                       ("incident_count", "elevated_risk_incident_count", "critical_risk_incident_count")],
@@ -513,7 +532,7 @@ def _check_texts() -> dict[str, str]:
                 [
                     ("not_empty", "=CASE WHEN count(*)=0 THEN 1 ELSE 0 END"),
                     ("month_missing", "opened_month IS NULL"),
-                    ("duplicate_months", "=" + distinct.format("opened_month")),
+                    ("duplicate_months", "=" + distinct.format("row(opened_month)")),
                     ("count_positive", "incident_count<=0"),
                     ("breaches_negative", "sla_breaches<0"),
                     ("breaches_within_count", "sla_breaches>incident_count"),
@@ -540,7 +559,9 @@ def _check_texts() -> dict[str, str]:
                     ("class_set", "=abs(count(DISTINCT bottleneck_class) - (SELECT count(DISTINCT bottleneck_class) FROM bot))"),
                     ("critical_count", "=abs(count(*) FILTER (WHERE driver_segment='Critical Bottleneck')"
                      " - (SELECT count(*) FROM bot WHERE bottleneck_class='Critical Bottleneck'))"),
-                    ("eligible_groups", "=abs(count(*) - (SELECT count(*) FROM grp WHERE eligible_for_comparison))"),
+                    ("eligible_groups", "=max((SELECT count(*) FROM (SELECT DISTINCT assignment_group FROM grp WHERE eligible_for_comparison) g"
+                     " ANTI JOIN drv USING (assignment_group))"
+                     " + (SELECT count(*) FROM drv ANTI JOIN (SELECT * FROM grp WHERE eligible_for_comparison) g USING (assignment_group)))"),
                 ],
             ),
             (
@@ -560,8 +581,9 @@ def _check_texts() -> dict[str, str]:
                         "breach_risk_class", "bottleneck_class", "volume_threshold", "breach_rate_threshold")),
                     ("volume_class", "(volume_class='High Volume') <> (incident_count>=volume_threshold)"),
                     ("breach_risk_class", "(breach_risk_class='High Breach Risk') <> (breach_rate>=breach_rate_threshold)"),
-                    ("bottleneck_class", "(bottleneck_class IN ('Critical Bottleneck','Volume Bottleneck')) <> (incident_count>=volume_threshold)"
-                     " OR (bottleneck_class IN ('Critical Bottleneck','SLA Risk')) <> (breach_rate>=breach_rate_threshold)"),
+                    ("bottleneck_class", "bottleneck_class <> (CASE WHEN incident_count>=volume_threshold AND breach_rate>=breach_rate_threshold"
+                     " THEN 'Critical Bottleneck' WHEN incident_count>=volume_threshold THEN 'Volume Bottleneck'"
+                     " WHEN breach_rate>=breach_rate_threshold THEN 'SLA Risk' ELSE 'Lower Priority' END)"),
                     ("unknown_classes", "bottleneck_class NOT IN ('Critical Bottleneck','Volume Bottleneck','SLA Risk','Lower Priority')"),
                     ("single_thresholds", "=greatest(count(DISTINCT (volume_threshold, breach_rate_threshold))-1,0)"),
                     ("eligible_groups", "=abs(count(*) - (SELECT count(*) FROM grp WHERE incident_count>=100))"),
@@ -576,7 +598,7 @@ def _check_texts() -> dict[str, str]:
                     ("no_missing_values", _missing(
                         "factor_type", "factor_value", "incident_count", "sla_breaches", "breach_rate", *_CI)),
                     ("unknown_types", "factor_type NOT IN ('Priority','Reassignment Bucket','Category','Assignment Group')"),
-                    ("missing_types", "=4 - count(DISTINCT factor_type)"),
+                    ("missing_types", "=4 - count(DISTINCT factor_type) FILTER (WHERE factor_type IN ('Priority','Reassignment Bucket','Category','Assignment Group'))"),
                     ("duplicate_factors", "=count(*) - count(DISTINCT (factor_type, factor_value))"),
                     ("count_positive", "incident_count<=0"),
                     ("breaches_negative", "sla_breaches<0"),

@@ -21,6 +21,7 @@ from breachscope.operators import kpis as K
 from breachscope.operators import risk as R
 from breachscope.operators import segments as G
 from breachscope.operators import sql_reports as Q
+from breachscope.plans import faults
 from breachscope.session import settle, work_path
 from breachscope.sources import incidents as I
 from breachscope.sources import mapping as M
@@ -410,6 +411,67 @@ def _check_portfolio(scores: DataFrame) -> DataFrame:
     return C.v03_portfolio(portfolio, scores, weight="incident_count")
 
 
+def _fault_queries() -> dict[str, Query]:
+    """The checks on frames with faults (``faults.FAULTS``); what a frame is checked
+    against stays sound."""
+
+    def on(columns: list[str], check: str, table: Callable[[DataFrame], DataFrame], verify) -> Query:
+        def report(incidents: DataFrame) -> DataFrame:
+            return verify(settle(faults.planted(table(incidents), check)), incidents)
+
+        return _check(columns, report)
+
+    def scores(incidents: DataFrame) -> DataFrame:
+        reference = settle(R.reference_from_profile(R.factor_profile(incidents)))
+        faulty = settle(faults.planted(settle(R.risk_scores(incidents, reference)), "v02_risk_scores"))
+        return C.v02_risk_scores(faulty, incidents, reference)
+
+    def reference(incidents: DataFrame) -> DataFrame:
+        tables = _segment_tables(incidents)
+        faulty = settle(faults.planted(settle(R.risk_reference(**tables)), "v08_risk_reference"))
+        return C.v08_risk_reference(faulty, **tables)
+
+    def portfolio(scores: DataFrame) -> DataFrame:
+        table = settle(R.risk_portfolio(scores, weight="incident_count"))
+        faulty = settle(faults.planted(table, "v03_portfolio"))
+        return C.v03_portfolio(faulty, scores, weight="incident_count")
+
+    def concentration(scores: DataFrame) -> DataFrame:
+        table = settle(R.risk_concentration(scores, weight="incident_count"))
+        return C.v04_concentration(settle(faults.planted(table, "v04_concentration")), scores)
+
+    def drivers(groups: DataFrame) -> DataFrame:
+        faulty = settle(faults.planted(settle(_driver_table(groups)), "v06_drivers"))
+        return C.v06_drivers(faulty, groups, settle(_classified(groups)))
+
+    def bottlenecks(groups: DataFrame) -> DataFrame:
+        faulty = settle(faults.planted(settle(_classified(groups)), "v07_bottlenecks"))
+        return C.v07_bottlenecks(faulty, groups)
+
+    return {
+        "v02_faults": _check(_FACTORS, scores),
+        "v03_faults": _check_profile(portfolio),
+        "v04_faults": _check_profile(concentration),
+        "v05_faults": on(
+            [*_SLA, "opened_month"], "v05_monthly", lambda i: G.sla_monthly(i, **_ONCE), C.v05_monthly
+        ),
+        "v06_faults": _check_groups(drivers),
+        "v07_faults": _check_groups(bottlenecks),
+        "v08_faults": _check(_ALL, reference),
+        "v09_faults": on([*_SLA, "category"], "v09_category", _categories, C.v09_category),
+        "v10_faults": on(
+            [*_SLA, "priority"], "v10_priority", lambda i: G.sla_priority(i, **_ONCE), C.v10_priority
+        ),
+        "v12_faults": on(
+            [_HOURS, "resolved_at", "reassignment_bucket"],
+            "v12_reassignment_resolution",
+            lambda i: G.reassignment_resolution(i, **_ONCE),
+            C.v12_reassignment_resolution,
+        ),
+        "v13_faults": on(_GROUP, "v13_assignment_group", _groups, C.v13_assignment_group),
+    }
+
+
 # ---------------------------------------------------------- small expressions
 
 
@@ -698,4 +760,5 @@ def registry() -> dict[str, Query]:
             _GROUP, lambda i: C.v13_assignment_group(settle(_groups(i)), i)
         ),
         "v14_load": _load_check,
+        **_fault_queries(),
     }

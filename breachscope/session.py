@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +60,53 @@ def work_path(spark: SparkSession) -> str:
     return f"{folder}/{uuid.uuid4().hex}"
 
 
+# Paths of the intermediate tables that exist, by application and scope.
+_held: dict[tuple[str, str], set[str]] = {}
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
+def _tables(spark: SparkSession, scope: str) -> set[str]:
+    return _held.setdefault((spark.sparkContext.applicationId, scope), set())
+
+
+def _remove(spark: SparkSession, paths: set[str]) -> None:
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        folder = to_path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for (application, _), held in _held.items():
+        if application == spark.sparkContext.applicationId:
+            held -= paths
+
+
+def _read_by(df: DataFrame) -> set[str]:
+    """The intermediate tables among the files that ``df`` reads."""
+    application = df.sparkSession.sparkContext.applicationId
+    names = {path.rpartition("/")[2]: path for (a, _), held in _held.items() if a == application for path in held}
+    return {names[part] for file in df.inputFiles() for part in file.split("/") if part in names}
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove settled tables that no unread frame needs any more."""
+    for df in tables:
+        _remove(df.sparkSession, _read_by(df))
+
+
+@contextmanager
+def work(spark: SparkSession, scope: str, *needed: DataFrame) -> Iterator[None]:
+    """Tables settled inside belong to ``scope``. What the scope held before is removed
+    first, but for the tables that ``needed`` read.
+
+    For steps that follow one another, each on the stored result of the one before: when
+    a step begins, nothing that the last one settled is read any more."""
+    _remove(spark, _tables(spark, scope) - set().union(*[_read_by(df) for df in needed]))
+    outer = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(outer)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application.
 
@@ -73,9 +123,11 @@ def settle(df: DataFrame) -> DataFrame:
 
     Used where a frame is read more than once: the later readers prune columns
     on the Parquet files instead of repeating the shuffle behind ``df``, and a
-    lost executor costs a re-read, not a recomputation.
+    lost executor costs a re-read, not a recomputation. The table stays until it is
+    released or the work is cleared.
     """
     spark = df.sparkSession
     path = work_path(spark)
+    _tables(spark, _scope.get()).add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
