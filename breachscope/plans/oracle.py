@@ -516,7 +516,7 @@ def _sound_check_texts() -> dict[str, str]:
                       ("elevated_risk_share_pct", "critical_risk_share_pct")],
                     *[rule for rule in _STATS_RULES if not rule[0].startswith(("min_", "max_"))],
                     ("eligibility", "dimension IN ('Category','Assignment Group') AND comparison_eligible <> (incident_count>=100)"),
-                    ("always_eligible", "dimension IN ('Priority','Reassignment Bucket') AND NOT comparison_eligible"),
+                    ("always_eligible", "dimension NOT IN ('Category','Assignment Group') AND NOT comparison_eligible"),
                     *[
                         (f"{prefix}_coverage",
                          f"=abs(count(*) FILTER (WHERE dimension='{label}') - (SELECT count(DISTINCT {column}) FROM inc))")
@@ -744,6 +744,12 @@ def texts() -> dict[str, str]:
                 ("order_group", _GRP, "grp", "assignment_group", _WORST + ", assignment_group"),
                 ("order_priority", _PRI, "pri", "priority", "priority"),
                 ("order_monthly", _MON, "mon", "opened_month", "opened_month"),
+                ("order_bottlenecks", _BOT, "bot", "assignment_group",
+                 "bottleneck_class, breach_rate DESC NULLS LAST, incident_count DESC, assignment_group"),
+                ("order_drivers", _BOT, "drv", "assignment_group",
+                 "driver_segment, breach_rate DESC NULLS LAST, incident_count DESC, assignment_group"),
+                ("order_risk_reference", _REF, "ref", "factor_type, factor_value",
+                 "factor_type, breach_rate DESC NULLS LAST, incident_count DESC, factor_value"),
             )
         },
         "guards": _INCIDENTS + """

@@ -135,16 +135,18 @@ def _concentration(scores: DataFrame) -> DataFrame:
     return R.risk_concentration(settle(scores), weight="incident_count")
 
 
-def _positions(report: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    """The place of each row in the order that the report shows its groups in."""
+def _positions(
+    report: Callable[[DataFrame], DataFrame], keys: int = 1
+) -> Callable[[DataFrame], DataFrame]:
+    """The place of each row in the order that the report shows its groups in; the first
+    ``keys`` columns name a group."""
 
     def number(incidents: DataFrame) -> DataFrame:
         rows = report(incidents)
+        names = rows.columns[:keys]
         # Ids grow along the partitions of a sorted frame. There is a row a group.
-        placed = rows.select(rows.columns[0], F.monotonically_increasing_id().alias("_place"))
-        return placed.select(
-            rows.columns[0], F.row_number().over(Window.orderBy("_place")).alias("position")
-        )
+        placed = rows.select(*names, F.monotonically_increasing_id().alias("_place"))
+        return placed.select(*names, F.row_number().over(Window.orderBy("_place")).alias("position"))
 
     return number
 
@@ -685,6 +687,11 @@ def registry() -> dict[str, Query]:
         "order_monthly": _on(
             [*_SLA, "opened_month"], _positions(lambda i: G.sla_monthly(i, **_ONCE)), settled=True
         ),
+        "order_bottlenecks": _on_groups(_positions(_classified)),
+        "order_drivers": _on_groups(_positions(_driver_table)),
+        "order_risk_reference": _on(
+            _FACTORS, _positions(lambda i: R.reference_from_profile(R.factor_profile(i)), keys=2)
+        ),
         # bottlenecks
         "bottlenecks": _on_groups(_classified),
         "volume_class": _on_groups(
