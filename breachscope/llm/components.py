@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from breachscope.session import settle
+from breachscope.session import release, settle
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,14 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = pairs.union(pairs.select(F.col("v"), F.col("u")).toDF("u", "v"))
         # Written, so that adaptive execution can split the rows of a hub in the join.
-        least = settle(
+        least_of = settle(
             both.groupBy("u").agg(F.min("v").alias("m")).select(
                 F.col("u").alias("of"), F.least("u", "m").alias("m")
             )
         )
         large = (
             both.where("v > u")
-            .join(least, F.col("u") == F.col("of"))
+            .join(least_of, F.col("u") == F.col("of"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
@@ -50,6 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         after = _marks(small)
+        release(pairs, least_of, large)  # the rounds before this one are not read again
         if after == before:
             break
         pairs, before = small, after

@@ -13,10 +13,11 @@ Every pair of documents whose shingle sets reach the threshold is connected, exa
    until the single shingles, and in each group all but one, number ``n - t + 1``:
    then any partner shares a single shingle or a whole pair. Sets too small for that
    index single shingles only; sizes about the border do both.
-4. In every list of the index each set is compared with the list's smallest one only.
-   That leaves few components; then sets of different components that share a list
-   are compared, and nothing else needs to be. So a group of thousands of near copies
-   costs its size, not its square, and no link between components is lost.
+4. In every list of the index each set is compared with the list's smallest one only, then
+   with one or two others where that leaves several components. Few are left; then sets of different components that share a list
+   are compared, once for all lists that they share, and nothing else needs to be. So a
+   group of thousands of near copies costs its size, not its square, and no link between
+   components is lost.
 5. Size and sketch bounds drop hopeless pairs before any set is fetched; what is left
    is verified on the whole sets, made anew from the texts of the documents concerned.
 """
@@ -29,12 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from breachscope.llm import kernel
 from breachscope.llm.components import components
-from breachscope.session import settle
+from breachscope.session import release, settle
 
 SHINGLE_WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5  # similarity of 0.8
@@ -46,6 +47,10 @@ _FREQUENT = 64  # a shingle is frequent in a bucket of so many more than the mea
 _LEAST_SKETCH, _LARGEST_SKETCH = 512, 1 << 16  # bits
 # Documents whose sets are to be compared are broadcast up to this many (24 bytes each).
 BROADCAST_DOCUMENTS = 1_000_000
+# Further sets of a list that all others of it are compared with.
+_MORE_STARS = 2
+# A set that is in more open lists than this does not carry them.
+_LISTS_CARRIED = 256
 _PART_BITS = 14  # buckets travel in rows of 2**14 counts
 _FREQUENT_LEVEL = 100  # levels from here on are frequent
 
@@ -112,8 +117,13 @@ def _folded(sketch: bytes, size: int = _LEAST_SKETCH // 8) -> np.ndarray:
     return x
 
 
+def _body() -> Column:
+    """Names the text of a row: ids may be null or repeated."""
+    return F.xxhash64("text").alias("body")
+
+
 def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Rows ``(doc_id, n, sid, sketch)``, and rows of bucket counts ``(part, counts)``."""
+    """Rows ``(doc_id, body, n, sid, sketch)``, and rows of bucket counts ``(part, counts)``."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = np.zeros(1 << _BUCKET_BITS, np.uint32)
@@ -129,6 +139,7 @@ def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
                 sketches = [_sketch(s) for s in sets]
                 yield _profile_batch(
                     doc_id=batch.column(0).slice(a, size),
+                    body=batch.column(2).slice(a, size),
                     n=pa.array([len(s) for s in sets], pa.int32()),
                     sid=pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
                     sketch=pa.array(sketches, pa.binary()),
@@ -143,14 +154,14 @@ def _profile(docs: DataFrame, rule: Rule) -> DataFrame:
                 part=pa.array(used, pa.int32()), counts=pa.array(raw, pa.binary())
             )
 
-    return docs.mapInArrow(
-        profile, "doc_id long, n int, sid long, sketch binary, small array<long>, part int, counts binary"
+    return docs.select("doc_id", "text", _body()).mapInArrow(
+        profile, "doc_id long, body long, n int, sid long, sketch binary, small array<long>, part int, counts binary"
     )
 
 
 _PROFILE = pa.schema(
     [
-        ("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()),
+        ("doc_id", pa.int64()), ("body", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()),
         ("sketch", pa.binary()), ("small", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary()),
     ]
 )
@@ -309,20 +320,22 @@ def _hopeful(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that link. Each set is made from the text of its first document, the
-    first of a pair is sent to where the second is, a bounded number at a time."""
+    """The pairs that link. Each set is made from a text that has it, the first of a
+    pair is sent to where the second is, a bounded number at a time."""
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = settle(sets.select("sid", "doc_id").join(ends, "sid"))
+    wanted = settle(sets.select("sid", "body").join(ends, "sid"))
     if wanted.count() <= BROADCAST_DOCUMENTS:
         wanted = F.broadcast(wanted)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # copies of a text: one of a task is enough
         for batch in batches:
             rows, wanted_ids = kernel.byte_rows(batch.column(1)), batch.column(0).to_pylist()
             for a, b in kernel.blocks(rows):
                 sids, raw = [], []
                 for sid, s in zip(wanted_ids[a:b], shingle_sets(rows[a:b], rule.words), strict=True):
-                    if _set_id(s) == sid:  # else another row by the same id
+                    if sid not in seen and _set_id(s) == sid:  # else another text of the same hash
+                        seen.add(sid)
                         sids.append(sid)
                         raw.append(s.tobytes())
                 yield pa.RecordBatch.from_arrays(
@@ -330,9 +343,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule) ->
                     names=["sid", "shingles"],
                 )
 
-    made = settle(
-        docs.join(wanted, "doc_id").select("sid", "text").mapInArrow(make, "sid long, shingles binary")
-    )
+    texts = docs.select("text", _body()).join(wanted, "body").select("sid", "text")
+    made = settle(texts.mapInArrow(make, "sid long, shingles binary").dropDuplicates(["sid"]))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,6 +364,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule) ->
     return both.mapInArrow(test, "a long, b long")
 
 
+def _named(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``sig, sid, component``; a set without a link is a component of its own."""
+    components_of = known.select(F.col("node").alias("sid"), "component")
+    named = rows.select("sig", "sid").join(components_of, "sid", "left")
+    return settle(named.withColumn("component", F.coalesce("component", "sid")))
+
+
+def _open_lists(named: DataFrame) -> DataFrame:
+    """The rows of lists that hold more than one component; ``named`` is removed.
+
+    The shingles of one passage have one list each, but all the same: one is enough.
+    Lists are told apart by size and two order-free hashes of their sets."""
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "sid")).alias(f"mark_{i}") for i in range(2)]
+    still_open = (
+        named.groupBy("sig")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("size"),
+            *marks,
+        )
+        .where("low < high")
+        .groupBy("size", "mark_0", "mark_1")
+        .agg(F.min("sig").alias("sig"))
+        .select("sig")
+    )
+    held = settle(named.join(still_open, "sig"))
+    release(named)
+    return held
+
+
 def jaccard_components(
     docs: DataFrame,
     rule: Rule = Rule(),
@@ -364,8 +407,8 @@ def jaccard_components(
     Null, empty and wordless texts have no shingles and link with nothing; a text with
     fewer words than a shingle has its whole word sequence as its one shingle. Rows
     with equal texts link, rows that repeat an id are one document for the component.
-    A row without an id links with equal sets only. An empty input gives an empty result; other columns are
-    ignored.
+    Rows without an id link like others; a component of such rows only has no id. An
+    empty input gives an empty result; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     profile = settle(_profile(docs, rule))
@@ -374,7 +417,7 @@ def jaccard_components(
     sets = settle(
         rows.where("sid IS NOT NULL")
         .groupBy("sid")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"))
+        .agg(F.min("doc_id").alias("doc_id"), F.min("body").alias("body"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"))
     )
 
     index = _index(docs, levels, rule)
@@ -389,35 +432,45 @@ def jaccard_components(
     first = settle(_verified(hopeful, sets, docs, rule))
     known = settle(components(first))
 
-    # Lists that still hold more than one component.
-    named = (
-        listed.select("sig", "sid")
-        .join(known.select(F.col("node").alias("sid"), "component"), "sid", "left")
-        .withColumn("component", F.coalesce("component", "sid"))
-        .distinct()
-    )
-    named = settle(named)
-    # The shingles of one passage have one list each, but all the same: one is enough.
-    # Lists are told apart by size and two order-free hashes of their sets.
-    marks = [F.bit_xor(F.xxhash64(F.lit(i), "sid")).alias(f"mark_{i}") for i in range(2)]
-    open_lists = settle(
-        named.groupBy("sig")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count(F.lit(1)).alias("size"),
-            *marks,
+    # Lists that still hold more than one component: another set of each, chosen by a
+    # hash, is compared with the rest, until few components are left in them.
+    held = _open_lists(_named(listed.select("sig", "sid").distinct(), known))
+    release(listed, known)
+    links, tested = first, hopeful
+    for turn in range(_MORE_STARS):
+        if held.isEmpty():
+            break
+        chosen = F.min_by(F.struct("sid", "component"), F.xxhash64(F.lit(turn), "sid"))
+        centre = held.groupBy("sig").agg(chosen.alias("centre"))
+        stars = (
+            held.join(centre, "sig")
+            .where(F.col("component") != F.col("centre.component"))
+            .select(F.least("sid", "centre.sid").alias("a"), F.greatest("sid", "centre.sid").alias("b"))
+            .distinct()
+            .join(tested, ["a", "b"], "left_anti")
         )
-        .where("low < high")
-        .groupBy("size", "mark_0", "mark_1")
-        .agg(F.min("sig").alias("sig"))
-        .select("sig")
+        hopeful = settle(_hopeful(stars, sets, rule))
+        found = settle(_verified(hopeful, sets, docs, rule))
+        links, tested, old = settle(links.union(found)), settle(tested.union(hopeful)), (links, tested, held)
+        known = settle(components(links))
+        held = _open_lists(_named(held, known))
+        release(*old, hopeful, found, known)
+    # A near copy shares many lists. A pair is looked at in the first one only: each row
+    # has the lists before it that its set is in, as long as these are few.
+    lists = held.groupBy("sid").agg(F.sort_array(F.collect_set("sig")).alias("lists"))
+    before = F.slice("lists", F.lit(1), F.array_position("lists", F.col("sig")).cast("int") - 1)
+    earlier = F.when(F.size("lists") <= _LISTS_CARRIED, before)
+    left = settle(
+        held.join(lists, "sid")
+        .withColumn("earlier", earlier)
+        .drop("lists")
+        .join(sets.select("sid", "n", "small"), "sid")
     )
-    left = settle(named.join(open_lists, "sig").join(sets.select("sid", "n", "small"), "sid"))
     ends = [
-        left.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "component", "n", "small")])
+        left.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("sid", "component", "n", "small", "earlier")])
         for x in "ab"
     ]
+    seen_before = F.coalesce(F.arrays_overlap("earlier_a", "earlier_b"), F.lit(False))
     # Bounds on sizes and on the small sketches are part of the join: hopeless pairs of
     # a list are never rows.
     differ = sum(
@@ -432,14 +485,17 @@ def jaccard_components(
             (F.col("component_a") < F.col("component_b"))
             & (F.least("n_a", "n_b") * high >= F.greatest("n_a", "n_b") * low)
             & (differ * (high + low) <= (F.col("n_a") + F.col("n_b")) * (high - low))
+            & ~seen_before
         )
         .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    more = settle(_hopeful(across, sets, rule))
-    second = settle(_verified(more.join(hopeful, ["a", "b"], "left_anti"), sets, docs, rule))
-    final = components(first.union(second))
+    more = settle(_hopeful(across.join(tested, ["a", "b"], "left_anti"), sets, rule))
+    release(held, left)
+    last = settle(_verified(more, sets, docs, rule))
+    final = settle(components(links.union(last)))
+    release(tested, more, links, last)
 
     # Components are named by set; a document's is the smallest id of its sets.
     of_set = sets.join(final.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
@@ -453,9 +509,3 @@ def jaccard_components(
         .join(of_set, "sid", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
-
-
-def first_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that are the smallest of their component."""
-    drop = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, docs[id_col] == F.col("_drop"), "left_anti")
