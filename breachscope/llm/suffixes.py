@@ -13,6 +13,10 @@ ascending order: each is placed by the rank of its successor, which is known by
 Neighbours with a common prefix of ``length`` bytes are occurrences of one string, and
 the smallest document id among them decides for all of them.
 
+An anchor in many chunks, that of a short line in a third of all documents, say, would
+gather a context from each of them in one bucket. Its strings are dealt one by one
+instead, by a hash of their own: equal ones still meet, and no bucket grows with the anchor.
+
 The texts are shuffled once, into chunks by id; anchors, contexts and the final cut are
 computed from that one exchange. Anchors and contexts of a chunk leave it once each,
 however many of its documents hold them, so a passage that a third of all documents
@@ -33,7 +37,12 @@ from breachscope.llm import kernel
 LENGTH = 50
 GRAM = 20
 CHUNK_BYTES = 4 << 20
+# An anchor in so many chunks is split. Fewer than that hold a bounded number of contexts.
+HOT_CHUNKS = 32
 _NO_ID = 2**63 - 1
+# Marks a context that is a single string of a split anchor.
+_SINGLE = 0x8000
+_SINGLE_FIRST = 0xFFFF
 
 
 # ---------------------------------------------------------------- suffix sorting
@@ -208,6 +217,16 @@ class Chunk:
         )
 
 
+    def strings(self, starts: np.ndarray) -> np.ndarray:
+        """A hash of the string at each start; another than that of an equal context."""
+        found = self.prefix.spans(starts, starts + self.length)
+        return kernel.mix(found ^ np.uint64(0x632BE59BD9B4E019))
+
+    def all_starts(self) -> np.ndarray:
+        counts = np.maximum(np.diff(self.start) - self.length, 0)
+        return kernel.ranges(self.start[:-1], counts)
+
+
 def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchor & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64)
 
@@ -236,7 +255,7 @@ def _column(table: pa.Table, name: str) -> list:
 
 
 _ANCHORS = "bucket int, chunk long, keys binary, several binary"
-_REPEATED = "chunk long, bucket int, keys binary"
+_REPEATED = "chunk long, bucket int, keys binary, hot binary"
 _CONTEXTS = "bucket int, chunk long, hash binary, least binary, greatest binary, size binary, text binary"
 _OWNERS = "chunk long, hash binary, first binary, count binary, owner binary"
 _CUT = (
@@ -269,7 +288,8 @@ def _anchors(chunk: int, c: Chunk, buckets: int) -> pa.Table:
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """For each chunk of the bucket, its anchors that another document has as well."""
+    """For each chunk of the bucket, its anchors that another document has as well, and
+    which of them are to be split."""
     bucket = table.column("bucket")[0].as_py()
     chunks = _column(table, "chunk")
     keys = [_unpack40(x) for x in _column(table, "keys")]
@@ -285,50 +305,72 @@ def _repeated(table: pa.Table) -> pa.Table:
     good = (counts[back] > 1) | several
     rows = []
     for i, chunk in enumerate(chunks):
-        kept = keys[i][good[bounds[i] : bounds[i + 1]]]
+        own = slice(bounds[i], bounds[i + 1])
+        kept = keys[i][good[own]]
         if len(kept):
-            rows.append((chunk, bucket, _pack40(kept << np.uint64(24))))
+            hot = counts[back[own]][good[own]] >= HOT_CHUNKS
+            rows.append((chunk, bucket, _pack40(kept << np.uint64(24)), np.packbits(hot).tobytes()))
     return _table(_REPEATED, rows)
 
 
+def _gathered(
+    chunk: int, buckets: np.ndarray, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, c: Chunk,
+    first: np.ndarray, mark: int,
+) -> list[tuple]:
+    """Rows of contexts, each once with the least and the greatest id that has it."""
+    order = np.lexsort((ids, hashes, buckets))
+    if not len(order):
+        return []
+    hashes, ids = hashes[order], ids[order]
+    start = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    stop = np.append(start[1:], len(hashes)) - 1
+    once = order[start]
+    size = size[once]
+    ends = np.cumsum(size)
+    text = c.bytes[kernel.ranges(first[once], size)].tobytes()
+    return [
+        (
+            b,
+            chunk,
+            hashes[start[i:j]].astype("<u8").tobytes(),
+            ids[start[i:j]].astype("<i8").tobytes(),
+            ids[stop[i:j]].astype("<i8").tobytes(),
+            (size[i:j] | mark).astype("<u2").tobytes(),
+            text[int(ends[i] - size[i]) : int(ends[j - 1])],
+        )
+        for b, i, j in _split(buckets[once])
+    ]
+
+
 def _contexts(chunk: int, c: Chunk, repeated: pa.Table, buckets: int) -> pa.Table:
-    """Each context of the chunk whose anchor is repeated, once."""
+    """Each context of the chunk whose anchor is repeated, once; of split anchors each string."""
     bucket = _bucket(c.anchor, buckets)
-    keep = np.zeros(len(bucket), bool)
+    kept, split = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if repeated.num_rows:
+        keys = [_unpack40(k) for k in _column(repeated, "keys")]
         sent = np.concatenate(
+            [k * np.uint64(buckets) + np.uint64(b) for b, k in zip(_column(repeated, "bucket"), keys, strict=True)]
+        )
+        hot = np.concatenate(
             [
-                _unpack40(k) * np.uint64(buckets) + np.uint64(b)
-                for b, k in zip(_column(repeated, "bucket"), _column(repeated, "keys"), strict=True)
+                np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool)
+                for x, k in zip(_column(repeated, "hot"), keys, strict=True)
             ]
         )
         own = (c.anchor >> np.uint64(24)) * np.uint64(buckets) + bucket.astype(np.uint64)
-        keep = np.isin(own, sent)
-    kept = np.flatnonzero(keep)
-    hashes = c.contexts()[kept]
-    ids = c.order_ids[c.row[kept]]
-    order = np.lexsort((ids, hashes, bucket[kept]))
-    rows = []
-    if len(order):
-        hashes, ids, kept = hashes[order], ids[order], kept[order]
-        start = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
-        stop = np.append(start[1:], len(hashes)) - 1
-        record = kept[start]
-        size = c.last[record] - c.first[record] + c.length
-        ends = np.cumsum(size)
-        text = c.bytes[kernel.ranges(c.first[record], size)].tobytes()
-        for b, i, j in _split(bucket[record]):
-            rows.append(
-                (
-                    b,
-                    chunk,
-                    hashes[start[i:j]].astype("<u8").tobytes(),
-                    ids[start[i:j]].astype("<i8").tobytes(),
-                    ids[stop[i:j]].astype("<i8").tobytes(),
-                    size[i:j].astype("<u2").tobytes(),
-                    text[int(ends[i] - size[i]) : int(ends[j - 1])],
-                )
-            )
+        kept = np.flatnonzero(np.isin(own, sent[~hot]))
+        split = np.flatnonzero(np.isin(own, sent[hot])) if hot.any() else split
+    ids = c.order_ids[c.row]
+    size = c.last[kept] - c.first[kept] + c.length
+    rows = _gathered(chunk, bucket[kept], c.contexts()[kept], ids[kept], size, c, c.first[kept], 0)
+    if len(split):
+        many = c.last[split] - c.first[split] + 1
+        starts = kernel.ranges(c.first[split], many)
+        hashes = c.strings(starts)
+        size = np.full(len(starts), c.length)
+        rows += _gathered(
+            chunk, _bucket(hashes, buckets), hashes, np.repeat(ids[split], many), size, c, starts, _SINGLE
+        )
     return _table(_CONTEXTS, rows)
 
 
@@ -343,6 +385,8 @@ def _owners(table: pa.Table, length: int) -> pa.Table:
     least = np.concatenate([np.frombuffer(x, "<i8") for x in _column(table, "least")])
     greatest = np.concatenate([np.frombuffer(x, "<i8") for x in _column(table, "greatest")])
     sizes = np.concatenate([np.frombuffer(x, "<u2") for x in _column(table, "size")]).astype(np.int64)
+    single = (sizes & _SINGLE) > 0
+    sizes &= _SINGLE - 1
     text = np.frombuffer(b"".join(_column(table, "text")), np.uint8)
     begins = np.cumsum(sizes) - sizes
 
@@ -380,7 +424,7 @@ def _owners(table: pa.Table, length: int) -> pa.Table:
             (
                 chunks[i],
                 hashes[item[a:b]].astype("<u8").tobytes(),
-                run_first[r].astype("<u2").tobytes(),
+                np.where(single[item[a:b]], _SINGLE_FIRST, run_first[r]).astype("<u2").tobytes(),
                 run_count[r].astype("<u2").tobytes(),
                 run_owner[r].astype("<i8").tobytes(),
             )
@@ -398,6 +442,17 @@ def _cut(c: Chunk, owners: pa.Table, keep_bytes: bool) -> pa.Table:
         owner = np.concatenate([np.frombuffer(x, "<i8") for x in _column(owners, "owner")])
         order = np.argsort(hashes, kind="stable")
         hashes, first, count, owner = hashes[order], first[order], count[order], owner[order]
+        single = first == _SINGLE_FIRST
+        if single.any():
+            starts = c.all_starts()
+            row_of = np.searchsorted(c.start, starts, "right") - 1
+            found = c.strings(starts)
+            known, owner_of = hashes[single], owner[single]
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            foreign = (known[at] == found) & (owner_of[at] < c.order_ids[row_of])
+            np.add.at(edges, starts[foreign], 1)
+            np.add.at(edges, starts[foreign] + c.length, -1)
+            hashes, first, count, owner = (x[~single] for x in (hashes, first, count, owner))
         own = c.contexts()
         low = np.searchsorted(hashes, own, "left")
         many = np.searchsorted(hashes, own, "right") - low

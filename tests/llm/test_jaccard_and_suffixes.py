@@ -1,11 +1,13 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from breachscope.llm import jaccard, suffixes
 from breachscope.llm.components import components
-from breachscope.llm.jaccard import Rule, first_of_each, jaccard_components, signatures
+from breachscope.llm.jaccard import Rule, jaccard_components, signatures
 
 
 def _sets(texts, words):
@@ -77,10 +79,18 @@ def test_nothing_has_no_components(nothing):
     assert jaccard_components(nothing).count() == 0
 
 
-def test_first_of_each_keeps_one_of_every_component(docs):
-    found = jaccard_components(docs)
-    kept = {r["doc_id"] for r in first_of_each(docs, found).select("doc_id").collect()}
-    assert kept == {r["component_id"] for r in found.collect()}
+def test_rows_without_an_id_keep_their_links(spark):
+    words = [f"w{i}" for i in range(1200)]
+    first, last = [f"b{i}" for i in range(90)], [f"c{i}" for i in range(90)]
+    near = [" ".join(x) for x in (words, first + words[90:], first + words[90:-90] + last)]
+    rows = [(1, near[0]), (None, near[1]), (3, near[2]), (None, "other words " * 9), (None, "other words " * 9), (4, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    rule = Rule(5, 8, 10)
+    found = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(frame, rule).collect()), key=str)
+    # The middle text is close to both others, which are not close to each other.
+    assert found == sorted(
+        [(1, 1196, 1), (None, 1196, 1), (3, 1196, 1), (None, 2, None), (None, 2, None), (4, 0, 4), (None, 0, None)], key=str
+    )
 
 
 def test_long_chains_and_stars_are_connected(spark):
@@ -111,12 +121,45 @@ def _brute(texts, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("length, gram", [(50, 20), (12, 5)])
-def test_repeats_agree_with_brute_force(docs, texts, length, gram):
+@pytest.mark.parametrize("length, gram, hot", [(50, 20, 32), (12, 5, 32), (50, 20, 2), (12, 5, 1)])
+def test_repeats_agree_with_brute_force(docs, texts, length, gram, hot, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_CHUNKS", hot)  # 1: every repeated anchor is split
     found = suffixes.without_repeats(docs, length, gram).drop("kept").collect()
     assert sorted((tuple(r) for r in found), key=str) == _brute(texts, length)
 
 
+def _groups(documents: int, chunks: int, buckets: int) -> list[int]:
+    """Bytes of contexts in each bucket, with two short lines in every document."""
+    rng = np.random.default_rng(documents)
+    other = lambda n: "".join(map(chr, rng.integers(33, 127, n)))
+    lines = "a line of thirty bytes, or so..", "this line has just forty-nine bytes, and no more!"
+    texts = [f"{other(60)}\n{lines[0]}\n{other(60)}\n{lines[1]}\n{other(60)}" for _ in range(documents)]
+    parts = []
+    for k in range(chunks):
+        ids = list(range(k, documents, chunks))
+        table = pa.table({"doc_id": ids, "text": [texts[i] for i in ids]})
+        parts.append(suffixes.Chunk(table, 50, 20))
+    by_bucket = lambda table: [
+        table.filter(pc.equal(table["bucket"], b)) for b in pc.unique(table["bucket"]).to_pylist()
+    ]
+    anchors = pa.concat_tables([suffixes._anchors(k, c, buckets) for k, c in enumerate(parts)])
+    repeated = pa.concat_tables([suffixes._repeated(t) for t in by_bucket(anchors)])
+    contexts = pa.concat_tables(
+        [suffixes._contexts(k, c, repeated.filter(pc.equal(repeated["chunk"], k)), buckets) for k, c in enumerate(parts)]
+    )
+    return [sum(map(len, t["text"].to_pylist())) for t in by_bucket(contexts)]
+
+
+def test_no_bucket_grows_with_a_line_that_every_document_has(monkeypatch):
+    # As many chunks and buckets for a document, as the operator chooses them.
+    small, large = _groups(400, 40, 40), _groups(3200, 320, 320)
+    assert sum(large) > 6 * sum(small)
+    assert max(large) < 2 * max(small)
+    monkeypatch.setattr(suffixes, "HOT_CHUNKS", 10**9)
+    whole = _groups(3200, 320, 320)
+    assert max(whole) > 3 * max(large)  # what one group held before
+
+
 def test_repeats_with_null_ids_and_bytes_kept(spark, nothing):
     rows = [(None, "z" * 60), (4, "z" * 60), (4, "q" * 55), (4, "q" * 55), (9, "q" * 54 + "!")]
     found = suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_bytes=True)
