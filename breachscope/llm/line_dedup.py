@@ -1,184 +1,222 @@
 """Near-duplicate lines: one occurrence of each connected group stays.
 
-Lines are normalised (lower case, everything but letters and digits as one blank) and
-reduced to a digest and a string of one character for each word. Equal lines are one
-line from there. Two lines are linked when the edit similarity of their words reaches
-the threshold, and by nothing else; lines of few words are linked with equal ones only.
+Lines are normalised (lower case, everything but letters and digits as one blank).
+Equal lines are one line from there. Two lines are linked when the edit similarity of
+their words reaches the threshold, and by nothing else.
 
 Candidates follow from that. Of the distinct word pairs (neighbours) of a line, at most
 two are lost with each edit, so two linked lines have a pair of words in common, and the
 rarest they have in common is among the ``2 k + 1`` rarest of each line, ``k`` being the
 number of edits allowed. These are its join keys. What counts as rare is an estimate,
 the same one for all lines: it decides how many candidates there are, not which are linked.
+Short lines, whose pairs are often common ones, have the line less one word as keys.
+(Blocks of a SimHash lose links at this similarity, see the README.)
 
-Under each key a line is compared with the smallest line only; lines that this leaves
-in different components are compared in a second step. That finds the same components
-as all pairs would, and a group of thousands of variants costs its size, not its square.
-Bounds on lengths and on the words' parity bits come before the distance; both hold for
-every linked pair.
+Only a key and the number of its line are shuffled. Under each key a line is compared
+with the smallest line only; lines that this leaves in different components are compared
+in a second step. That finds the same components as all pairs would, and a group of
+thousands of variants costs its size, not its square. Bounds on lengths and on the words'
+parity bits come before the distance; both hold for every linked pair. Texts of lines are
+fetched for candidates only, and compared by their words.
 
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from breachscope.llm.components import components
-from breachscope.session import settle
+from breachscope.session import release, settle
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
-# Linked lines may differ in all bits of their SimHashes: these exclude no pair.
-BITS_APART = 64
-
-_LANES = 0x0001000100010001
 
-# Digests of lines to compare are broadcast up to this many (some 30 bytes each).
+# Numbers of lines to compare are broadcast up to this many (8 bytes each).
 BROADCAST_LINES = 1_000_000
 
-# Letters of scripts without blanks between words: each is a word.
-_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Letters of scripts without blanks between words, each of which is a word: Thai, Lao and
+# Burmese; Khmer; kana; Chinese characters.
+_UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]"
 
-# Codes of words, and of every how many lines one is counted to tell rare words.
-_CODES = 0xD000
-_SAMPLE = 8
+# Buckets in which word pairs are counted, and of every how many lines one is.
+_BUCKET_BITS = 18
+_SAMPLE = 32
 
-
-def _words(lines: Column) -> Column:
-    """Lower-cased runs of letters and digits of each line; in scripts without blanks
-    each letter is one."""
-    apart = lambda x: F.regexp_replace(x, _UNSPACED, " $0 ")
-    return F.transform(lines, lambda x: F.array_remove(F.split(apart(x), r"[^\p{L}\p{N}]+"), ""))
+# One character for each word of two lines under comparison; beyond so many different
+# words two independent hashes take the place of their numbers.
+_CODES = 0xD000
+_NUMBERED_WORDS = 1024
 
 
-def _coded(words: Column) -> Column:
-    """One character for each word, by its hash, so that the edit distance of two such
-    strings counts word edits. Two different words share a character once in 53,248."""
-    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(_CODES)) + 0x100), 4, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-16BE")
+def _normalised(text: Column) -> Column:
+    """Lines of words: lower-cased runs of letters and digits with one blank between
+    them; in scripts without blanks each letter is a word."""
+    low = F.lower(text)
+    wide = (F.octet_length(low) > F.char_length(low)) & F.rlike(low, F.lit(_UNSPACED))
+    apart = F.when(wide, F.regexp_replace(low, _UNSPACED, " $0 ")).otherwise(low)
+    return F.split(F.regexp_replace(apart, r"[^\p{L}\p{N}\n]+", " "), "\n")
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, body, pos, words`` of every line with enough words; ``body`` tells rows
-    with one id apart. The words are made before the rows, so that it is done once."""
-    words = _words(F.split(F.lower("text"), "\n"))
-    made = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(words).alias("pos", "words"))
-    return made.where(F.size("words") >= min_words)
+def _lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, body, pos, norm`` of every line with a word; ``body`` tells rows with
+    one id apart. (The outer kind of explode: the other one is planned with filters on
+    the size of the array, which make it once more.)"""
+    made = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode_outer(_normalised(F.col("text"))).alias("pos", "line"))
+    return made.select("doc_id", "body", "pos", F.trim("line").alias("norm")).where("norm <> ''")
 
 
-def _digest(*parts: str) -> Column:
+def _digest(norm: Column) -> Column:
+    parts = (F.xxhash64(norm), F.xxhash64(F.lit(1), norm))
     return F.unhex(F.concat(*[F.lpad(F.hex(d), 16, "0") for d in parts]))
 
 
-def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, body, pos, digest, simhash`` of every line with enough words; a
-    description of lines that ``line_groups`` makes no use of.
-
-    Bit ``b`` of the SimHash is set when more than half of the words have it set in
-    their hash. The bits are added up by the aggregate over the exploded words, four in
-    one long: lane ``k`` of sum ``s`` counts bit ``16 k + s``. Beyond 32,767 words the
-    lanes run into each other; equal lines have equal hashes there, too.
-    """
-    norm = F.array_join("words", " ")
-    # The digest has a projection of its own below the explode, not above it, where it
-    # would be computed for every word.
-    lines = _lines(docs, min_words).withColumns(
-        {"d1": F.xxhash64(norm), "d2": F.xxhash64(F.lit(1), norm)}
-    )
-    words = lines.select("doc_id", "body", "pos", "d1", "d2", F.explode("words").alias("word"))
-    hashed = words.withColumn("h", F.xxhash64("word"))
-    mask = F.lit(_LANES).cast("bigint")
-    summed = hashed.groupBy("doc_id", "body", "pos", "d1", "d2").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.try_sum(F.shiftrightunsigned("h", s).bitwiseAND(mask)).alias(f"s{s}") for s in range(16)],
-    )
+def _allowed(n: Column, similarity: float) -> Column:
+    """Word edits that a line of ``n`` words may differ in."""
+    return F.floor(n * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
 
-    def bit(s: int, lane: int) -> Column:
-        count = F.shiftrightunsigned(F.coalesce(f"s{s}", F.lit(0)), 16 * lane).bitwiseAND(F.lit(0xFFFF))
-        value = 1 << (16 * lane + s)
-        value = value - (1 << 64) if value >= 1 << 63 else value
-        return F.when(count * 2 > F.col("n"), F.lit(value).cast("bigint")).otherwise(
-            F.lit(0).cast("bigint")
-        )
 
-    bits = [bit(s, lane) for s in range(16) for lane in range(4)]
-    return summed.select(
-        "doc_id", "body", "pos", _digest("d1", "d2").alias("digest"), reduce(Column.bitwiseOR, bits).alias("simhash")
+def _pairs(words: Column, n: Column) -> Column:
+    """A number for each pair of neighbours: the length of both words in the six highest
+    bits, a hash below."""
+    low = F.lit((1 << 58) - 1)
+    coded = F.transform(
+        words,
+        lambda w: F.shiftleft(F.least(F.char_length(w), F.lit(31)).cast("bigint"), 58).bitwiseOR(F.xxhash64(w).bitwiseAND(low)),
     )
+    turned = lambda x: F.shiftleft(x, 21).bitwiseXOR(F.shiftrightunsigned(x.bitwiseAND(low), 37)).bitwiseAND(low)
+    lengths = lambda a, b: F.shiftleft(F.shiftrightunsigned(a, 58) + F.shiftrightunsigned(b, 58), 58)
+    both = lambda a, b: lengths(a, b).bitwiseOR(turned(a).bitwiseXOR(b.bitwiseAND(low)))
+    return F.slice(F.zip_with(coded, F.slice(coded, F.lit(2), n), both), F.lit(1), n - 1)
 
 
-def _allowed(n: Column, similarity: float) -> Column:
-    """Word edits that a line of ``n`` words may differ in."""
-    return F.floor(n * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+def _bucket(pair: Column) -> Column:
+    return pair.bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1)).cast("int")
 
 
 def _levels(lines: DataFrame) -> Column:
-    """A byte for each code of a word, by the logarithm of its count in a sample."""
-    some = lines.where(F.pmod(F.xxhash64("digest"), F.lit(_SAMPLE)) == 0)
-    counted = (
-        some.select(F.explode(F.split("coded", "")).alias("c"))
-        .groupBy("c")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.ascii("c").alias("c"), F.floor(F.log2(F.col("n") + 1) * 3).cast("int").alias("level"))
-    )
-    out = bytearray(0x100 + _CODES)
-    for row in counted.collect():
-        out[row["c"]] = min(row["level"], 127)
+    """A byte for each bucket of word pairs: how far its count in a sample of the lines
+    stands out, 0 to 7. A table of fixed size."""
+    some = lines.where(F.pmod(F.xxhash64("line"), F.lit(_SAMPLE)) == 0)
+    some = some.select(_pairs(F.split("norm", " "), F.col("n")).alias("pairs"))
+    counted = some.select(F.explode_outer("pairs").alias("p")).groupBy(_bucket(F.col("p")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    held = counted.collect()
+    mean = sum(r["n"] for r in held) / (1 << _BUCKET_BITS)
+    noise = mean + 4 * mean**0.5 + 1
+    out = bytearray(1 << _BUCKET_BITS)
+    for r in held:
+        out[r["b"]] = min(max(int((r["n"] / noise)), 1).bit_length() - 1, 7)
     return F.lit(bytes(out))
 
 
+def _one_edit(similarity: float) -> int:
+    """The most words that a line can have if it may differ in one edit only."""
+    n = 1
+    while int((n + 1) * (1 - similarity) + 1e-9) <= 1:
+        n += 1
+    return n
+
+
+def _less_one(norm: Column) -> Column:
+    """A hash of the line, and of what each word leaves of it when it is taken out: two
+    lines at one edit have one of these in common, and hardly any others do."""
+    words = F.split(norm, " ")
+    hashed = lambda line: F.xxhash64(F.lit(2), line)
+    without = lambda i: F.concat(F.slice(words, F.lit(1), i - 1), F.slice(words, i + 1, F.size(words)))
+    shorter = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: hashed(F.array_join(without(i), " ")))
+    return F.array_distinct(F.concat(F.array(hashed(norm)), shorter))
+
+
 def _keyed(lines: DataFrame, similarity: float, min_words: int) -> DataFrame:
-    """``key, digest, n, parity``: the rarest word pairs of each line with enough words.
-
-    A shorter line must have as many keys as its longest partner asks of it: the pairs
-    of words that it can lose are one less for each word it is shorter, so that the
-    partner of one more word asks most. Bit ``b`` of ``parity`` tells whether an odd number of words
-    have a code of ``b`` modulo 64; an edit changes two bits at most."""
-    levels = _levels(lines)
-    ranked = lambda c: (
-        F.ascii(F.substring(levels, F.ascii(c) + 1, F.lit(1)).cast("string")) * (1 << 16) + F.ascii(c)
-    ).cast("bigint")
-    coded = lines.where(F.char_length("coded") >= max(min_words, 2)).select(
-        "digest", F.char_length("coded").alias("n"), F.transform(F.split("coded", ""), ranked).alias("codes")
-    )
-    pair = lambda a, b: F.when(
-        a.isNotNull() & b.isNotNull(),
-        F.shiftleft(F.shiftright(a, 16) + F.shiftright(b, 16), 32)
-        + F.shiftleft(a.bitwiseAND(F.lit(0xFFFF)), 16)
-        + b.bitwiseAND(F.lit(0xFFFF)),
-    )
-    pairs = F.zip_with("codes", F.slice("codes", F.lit(2), F.col("n")), pair)
+    """``key, line``: the keys of each line that can have a partner.
+
+    If the longer of two lines may differ in one edit only, they are found by the lines
+    less one word. Else by their rarest word pairs. A shorter line must have as many of these
+    as its longest partner asks of it: the pairs of words that it can lose are one less for
+    each word it is shorter, so that the partner of one more word asks most."""
     n = F.col("n")
+    short = _one_edit(similarity)
+    least = lambda words: max(-int(-words * similarity // 1), 2)
+    able = lines.where(n >= least(max(min_words, short + 1)))
+    hashed = able.select("line", "n", _pairs(F.split("norm", " "), n).alias("pairs"))
+    levels = _levels(able)
+    level = lambda p: F.ascii(F.substring(levels, _bucket(p) + 1, F.lit(1)).cast("string")).cast("bigint")
+    # Pairs that stand out come last; of the others long words first, for they are rarer.
+    length = lambda p: F.shiftleft(F.lit(62) - F.shiftrightunsigned(p, 58), 54)
+    ranked = lambda p: F.shiftleft(level(p), 60).bitwiseOR(length(p)).bitwiseOR(p.bitwiseAND(F.lit((1 << 54) - 1)))
     many = F.greatest(_allowed(n, similarity) * 2 + 1, _allowed(n + 1, similarity) * 2)
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))
-    parity = F.aggregate("codes", F.lit(0).cast("bigint"), lambda out, c: out.bitwiseXOR(bit(c)))
-    keys = F.slice(F.sort_array(F.array_distinct(F.array_compact(pairs))), F.lit(1), many)
-    return coded.select("digest", "n", parity.alias("parity"), F.explode(keys).alias("key"))
+    keys = F.slice(F.array_distinct(F.sort_array(F.transform("pairs", ranked))), F.lit(1), many)
+    few = lines.where((n >= least(min_words)) & (n <= short))
+    return hashed.select("line", F.explode_outer(keys).alias("key")).unionByName(
+        few.select("line", F.explode_outer(_less_one(F.col("norm"))).alias("key"))
+    )
+
 
+def _parity(norm: Column) -> Column:
+    """Four numbers of 64 bits; each of the 256 bits tells whether an odd number of words
+    have its place as their hash. An edit changes two bits at most."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
+    part = lambda h: F.shiftrightunsigned(h, 62)
+    none = F.lit(0).cast("bigint")
+    here = lambda h, i: F.when(part(h) == i, bit(h)).otherwise(none)
+    start = F.struct(*[none.alias(f"p{i}") for i in range(4)])
+    step = lambda out, h: F.struct(*[out[f"p{i}"].bitwiseXOR(here(h, i)).alias(f"p{i}") for i in range(4)])
+    return F.aggregate(F.transform(F.split(norm, " "), lambda w: F.xxhash64(w)), start, step)
 
-def _close(a: tuple[str, str], b: tuple[str, str], similarity: float) -> Column:
+
+def _close(a: tuple[str, str], b: tuple[str, str], similarity: float, min_words: int) -> Column:
     """Whether ``(n, parity)`` of two lines leave them a chance to be linked."""
     allowed = _allowed(F.greatest(a[0], b[0]), similarity)
-    return (F.abs(F.col(a[0]) - F.col(b[0])) <= allowed) & (
-        F.bit_count(F.col(a[1]).bitwiseXOR(F.col(b[1]))) <= allowed * 2
+    odd = [F.bit_count(F.col(a[1])[f"p{i}"].bitwiseXOR(F.col(b[1])[f"p{i}"])) for i in range(4)]
+    return (
+        (F.greatest(a[0], b[0]) >= min_words)
+        & (F.abs(F.col(a[0]) - F.col(b[0])) <= allowed)
+        & (odd[0] + odd[1] + odd[2] + odd[3] <= allowed * 2)
     )
 
 
+def _distance(words: tuple[Column, Column], code, most: Column) -> Column:
+    """Word edits between two lines, -1 if more than ``most``; ``code`` numbers the words."""
+    letter = lambda w: F.lpad(F.hex(F.pmod(code(w), F.lit(_CODES)) + 0x100), 4, "0")
+    texts = [F.decode(F.unhex(F.array_join(F.transform(x, letter), "")), "UTF-16BE") for x in words]
+    return F.call_function("levenshtein", *texts, most)
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose distance in word edits is at most ``(1 - similarity)`` of the longer line."""
-    both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("coded").alias("left")), "a").join(
-        texts.select(F.col("digest").alias("b"), F.col("coded").alias("right")), "b"
-    )
-    longer = F.greatest(F.char_length("left"), F.char_length("right"))
-    allowed = _allowed(longer, similarity)
-    apart = F.abs(F.char_length("left") - F.char_length("right"))
-    distance = F.call_function("levenshtein", F.col("left"), F.col("right"), allowed)
-    # The condition on lengths comes first: it spares the distance of hopeless pairs.
-    return both.where(F.when(apart <= allowed, distance >= 0).otherwise(F.lit(False))).select("a", "b")
+    """Pairs whose distance in word edits is at most ``(1 - similarity)`` of the longer
+    line. Hashes of the words never make a distance larger; they come first, and the
+    words themselves decide."""
+    sides = [texts.select(F.col("line").alias(x), F.split("norm", " ").alias(f"words_{x}")) for x in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    words = (F.col("words_a"), F.col("words_b"))
+    allowed = _allowed(F.greatest(*[F.size(w) for w in words]), similarity)
+    both = both.withColumn("allowed", allowed)
+    most = F.col("allowed")
+    by_hash = _distance(words, lambda w: F.xxhash64(w), most) >= 0
+    # Written, so that the list of words is made once for a pair and not for every word.
+    hopeful = settle(both.where(by_hash).withColumn("different", F.array_distinct(F.concat(*words))))
+    exact = F.when(
+        F.size("different") <= _NUMBERED_WORDS,
+        _distance(words, lambda w: F.array_position(F.col("different"), w), most) >= 0,
+    ).otherwise(_distance(words, lambda w: F.xxhash64(F.lit(7), w), most) >= 0)
+    linked = settle(hopeful.where(exact).select("a", "b"))
+    release(hopeful)
+    return linked
+
+
+def _candidates(pairs: DataFrame, lines: DataFrame, similarity: float, min_words: int) -> DataFrame:
+    """The linked pairs among ``pairs(a, b)``. Texts are read only of lines that length
+    and parity bits leave in a pair."""
+    meta = [lines.select(F.col("line").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}")) for x in "ab"]
+    close = _close(("n_a", "p_a"), ("n_b", "p_b"), similarity, min_words)
+    hopeful = settle(pairs.join(meta[0], "a").join(meta[1], "b").where(close).select("a", "b"))
+    ends = settle(hopeful.select(F.col("a").alias("line")).union(hopeful.select(F.col("b").alias("line"))).distinct())
+    wanted = F.broadcast(ends) if ends.count() <= BROADCAST_LINES else ends
+    texts = settle(lines.join(wanted, "line", "left_semi").select("line", "norm"))
+    linked = _similar(hopeful, texts, similarity)
+    release(ends, texts, hopeful)
+    return linked
 
 
 def line_groups(
@@ -190,40 +228,37 @@ def line_groups(
     has the columns ``doc_id`` and ``text``."""
     if similarity < 0.75:
         raise ValueError("keys find all links from a similarity of 0.75 only")
-    norm = F.array_join("words", " ")
-    made = _lines(docs, 1).withColumns({"d1": F.xxhash64(norm), "d2": F.xxhash64(F.lit(1), norm)})
     # Null ids sort first in a struct; here they come last.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body", "pos")
-    occurrences = settle(made.select("doc_id", "body", "pos", _digest("d1", "d2").alias("digest"), _coded(F.col("words")).alias("coded")))
-    distinct = settle(
-        occurrences.groupBy("digest").agg(
-            F.first("coded").alias("coded"), F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")
-        )
+    made = settle(_lines(docs).withColumn("digest", _digest(F.col("norm"))))
+    occurrences = made.drop("norm")
+    lines = settle(
+        made.groupBy("digest")
+        .agg(F.first("norm").alias("norm"), F.min(place).alias("keep"), F.count(F.lit(1)).alias("occurs"))
+        .withColumns({"n": F.size(F.split("norm", " ")), "parity": _parity(F.col("norm"))})
+        .withColumn("line", F.monotonically_increasing_id())
     )
 
-    # What bounds the distance travels with the keys, so that no pair has to look it up.
-    keyed = _keyed(distinct.select("digest", "coded"), similarity, min_words)
+    keyed = _keyed(lines.select("line", "n", "norm"), similarity, min_words)
     listed = settle(
-        keyed.withColumn("low", F.expr("min(struct(digest, n, parity)) OVER (PARTITION BY key)"))
-        .withColumn("high", F.expr("max(digest) OVER (PARTITION BY key)"))
-        .where("low.digest < high")
-    )
-    hopeful = settle(
-        listed.where((F.col("digest") > F.col("low.digest")) & _close(("n", "parity"), ("low.n", "low.parity"), similarity))
-        .select(F.col("low.digest").alias("a"), F.col("digest").alias("b"))
-        .distinct()
+        keyed.withColumn("low", F.expr("min(line) OVER (PARTITION BY key)"))
+        .withColumn("high", F.expr("max(line) OVER (PARTITION BY key)"))
+        .where("low < high")
+        .select("key", "line", "low")
     )
-    first = settle(_similar(hopeful, _texts(hopeful, distinct), similarity))
+    stars = settle(listed.where("line > low").select(F.col("low").alias("a"), F.col("line").alias("b")).distinct())
+    first = _candidates(stars, lines, similarity, min_words)
     known = settle(components(first))
 
     named = settle(
-        listed.select("key", "digest", "n", "parity")
-        .join(known.select(F.col("node").alias("digest"), "component"), "digest", "left")
-        .withColumn("component", F.coalesce("component", "digest"))
+        listed.select("key", "line")
+        .join(known.select(F.col("node").alias("line"), "component"), "line", "left")
+        .withColumn("component", F.coalesce("component", "line"))
     )
+    release(listed, known)
     # Keys with the same lines need one look only; the lines are told apart by their
     # number and two order-free hashes.
-    marks = [F.bit_xor(F.xxhash64(F.lit(i), "digest")).alias(f"mark_{i}") for i in range(2)]
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "line")).alias(f"mark_{i}") for i in range(2)]
     open_keys = settle(
         named.groupBy("key")
         .agg(
@@ -237,42 +272,42 @@ def line_groups(
         .agg(F.min("key").alias("key"))
         .select("key")
     )
-    left = settle(named.join(open_keys, "key"))
+    # What bounds the distance goes into the join, so that hopeless pairs are never rows.
+    left = settle(named.join(open_keys, "key").join(lines.select("line", "n", "parity"), "line"))
     ends = [
-        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("digest", "component", "n", "parity")])
+        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("line", "component", "n", "parity")])
         for x in "ab"
     ]
     across = (
         ends[0]
         .join(ends[1], "key")
-        .where((F.col("component_a") < F.col("component_b")) & _close(("n_a", "parity_a"), ("n_b", "parity_b"), similarity))
-        .select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where(
+            (F.col("component_a") < F.col("component_b"))
+            & _close(("n_a", "parity_a"), ("n_b", "parity_b"), similarity, min_words)
+        )
+        .select(F.least("line_a", "line_b").alias("a"), F.greatest("line_a", "line_b").alias("b"))
         .distinct()
     )
-    more = settle(across.join(hopeful, ["a", "b"], "left_anti"))
-    second = settle(_similar(more, _texts(more, distinct), similarity))
-    final = components(first.union(second))
+    more = settle(across.join(stars, ["a", "b"], "left_anti"))
+    release(named, open_keys, left, stars)
+    second = _candidates(more, lines, similarity, min_words)
+    final = settle(components(first.union(second)))
+    release(more, first, second)
 
     of_line = settle(
-        distinct.join(final.select(F.col("node").alias("digest"), "component"), "digest", "left")
-        .select("digest", "keep", "n", F.coalesce("component", "digest").alias("component"))
+        lines.select("line", "digest", "keep", "occurs")
+        .join(final.select(F.col("node").alias("line"), "component"), "line", "left")
+        .select("digest", "keep", "occurs", F.coalesce("component", "line").alias("component"))
     )
+    release(lines, final)
     of_group = settle(
         of_line.groupBy("component")
-        .agg(F.min("keep").alias("keep"), F.sum("n").alias("group_lines"))
+        .agg(F.min("keep").alias("keep"), F.sum("occurs").alias("group_lines"))
         .where("group_lines > 1")
     )
-    return settle(of_line.select("digest", "component").join(of_group, "component")), occurrences
-
-
-def _texts(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """The lines of ``pairs`` in words of one character each."""
-    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
-    wanted = settle(ends)
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    return settle(distinct.select("digest", "coded").join(wanted, "digest", "left_semi"))
+    groups = settle(of_line.select("digest", "component").join(of_group, "component"))
+    release(of_line, of_group)
+    return groups, occurrences
 
 
 def deduplicate_lines(
@@ -286,9 +321,10 @@ def deduplicate_lines(
 
     Lines end at a line feed. Of each connected group of lines, within documents and
     across them, the occurrence in the document with the smallest id stays, the first
-    one there; a null id comes last. Lines of fewer than ``min_words`` words are grouped
-    with equal lines only, lines without a letter or digit stay always. Rows alike in id and text are one document and keep the same lines. A null
-    text stays null and has no lines; a text of which every line goes becomes empty.
+    one there; a null id comes last. Two lines of which the longer has fewer than
+    ``min_words`` words are grouped only if they are equal; lines without a letter or
+    digit stay always. Rows alike in id and text are one document and keep the same
+    lines. A null text stays null and has no lines; a text of which every line goes becomes empty.
     Columns by the two new names are replaced.
     """
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
