@@ -189,7 +189,7 @@ WITH c AS (
 ), keys AS (
  SELECT page_id, url, fetched_at, array_to_string(l[i:], '.') AS pattern, len(l)-i+1 AS specific
  FROM (SELECT *, string_split(host,'.') AS l FROM c WHERE host IS NOT NULL),
-  unnest(range(1, greatest(len(l), 2))) AS r(i)
+  unnest(range(1, len(l)+1)) AS r(i)
  UNION ALL
  SELECT page_id, url, fetched_at, host || '/' || array_to_string(g[:k], '/'), 1000+k
  FROM (SELECT *, list_filter(string_split(path,'/'), lambda x: x <> '') AS g FROM c WHERE host IS NOT NULL),
@@ -236,25 +236,35 @@ def _licence_sql() -> str:
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    def form(x: str) -> str:
+    def lines(x: str) -> str:
         out = f"regexp_replace(lower({x}), {quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
-        for pattern, into in licenses.SPELLINGS:
-            out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(into.replace('$1', chr(92) + '1'))}, 'g')"
-        return f"trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g'))"
+        for spelling, into in licenses.SPELLINGS:
+            out = f"replace({out}, {quoted(spelling)}, {quoted(into)})"
+        out = f"regexp_replace({out}, '[^a-z0-9\\n]+', ' ', 'g')"
+        out = f"regexp_replace({out}, {quoted(licenses.VERSION)}, 'version \\1', 'g')"
+        trimmed = f"list_transform(string_split({out}, chr(10)), lambda l: trim(l))"
+        return f"list_filter({trimmed}, lambda l: l <> '')"
 
     known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licenses.known_texts())
     return f"""
 WITH known AS (
- SELECT {form("t")} AS form, min(license) AS license FROM (VALUES {known}) AS v(license, t) GROUP BY 1
-), units AS (
- SELECT doc_id, TRUE AS entire, len(string_split(text, chr(10)))<=1 AS single, text AS u FROM documents WHERE text IS NOT NULL
+ SELECT array_to_string({lines("t")}, ' ') AS form, min(license) AS license
+ FROM (VALUES {known}) AS v(license, t) GROUP BY 1
+), d AS (
+ SELECT doc_id, {lines("text")} AS l FROM documents WHERE text IS NOT NULL
+), rest AS (
+ SELECT doc_id, l[i] AS line, array_to_string(l[i:], ' ') AS r FROM d, unnest(range(1, len(l)+1)) AS x(i)
+), hits AS (
+ SELECT doc_id, 'whole' AS kind, license FROM d JOIN known ON array_to_string(l, ' ')=form WHERE form<>''
  UNION ALL
- SELECT doc_id, FALSE, FALSE, unnest(string_split(text, chr(10))) FROM documents
- WHERE text IS NOT NULL AND len(string_split(text, chr(10)))>1
+ SELECT doc_id, 'line', license FROM rest JOIN known ON line=form
+ UNION ALL
+ SELECT doc_id, 'run', license FROM rest JOIN known
+ ON length(form)>={licenses.ANCHOR} AND substr(r, 1, {licenses.ANCHOR})=substr(form, 1, {licenses.ANCHOR})
+  AND starts_with(r || ' ', form || ' ')
 ), found AS (
- SELECT doc_id, max(license) FILTER (entire) AS whole, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
-  count(*) FILTER (NOT entire OR single) AS n_notices
- FROM units JOIN known ON {form("u")}=form WHERE form<>'' GROUP BY doc_id
+ SELECT doc_id, max(license) FILTER (kind='whole') AS whole, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+  count(*) FILTER (kind='line') AS n_notices FROM hits GROUP BY doc_id
 )
 SELECT d.doc_id, f.whole, coalesce(f.licenses, '') AS licenses, coalesce(f.n_notices, 0) AS n_notices
 FROM documents d LEFT JOIN found f ON d.doc_id=f.doc_id

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -20,28 +21,20 @@ def _words(line):
     return "".join(c if c.isalnum() else " " for c in line.lower()).split()
 
 
-def test_simhash_is_the_majority_of_word_hashes(spark, docs):
-    found = {(r["doc_id"], r["pos"]): r["simhash"] for r in line_dedup.hashed_lines(docs, 1).collect()}
-    body = docs.where("doc_id = 12").first()["text"].split("\n")
-    for pos, line in enumerate(body):
-        words = _words(line)
-        hashes = [r["h"] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("h")).collect()]
-        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-        assert found[12, pos] & (1 << 64) - 1 == bits
+def _linked(a: list[str], b: list[str]) -> bool:
+    longer = max(len(a), len(b))
+    return a == b or longer >= line_dedup.MIN_WORDS and _distance(a, b) <= int(longer * 0.2 + 1e-9)
 
 
-def test_line_groups_agree_with_brute_force(spark, docs, texts):
-    hashed = line_dedup.hashed_lines(docs, line_dedup.MIN_WORDS)
-    simhash = {(r["doc_id"], r["body"], r["pos"]): r["simhash"] for r in hashed.collect()}
-    body_of = {(r["doc_id"], r["text"]): r["b"] for r in docs.select("doc_id", "text", F.xxhash64("text").alias("b")).collect()}
-    lines = []
-    for i, t in texts:
-        for pos, line in enumerate((t or "").split("\n")):
-            words = _words(line)
-            if len(words) >= line_dedup.MIN_WORDS:
-                lines.append(((i, body_of[i, t], pos), " ".join(words)))
+def _kept_lines(texts, body_of):
+    """By definition, from all pairs of distinct lines."""
+    lines = [
+        ((i is None, i, body_of[i, t], pos), " ".join(_words(line)))
+        for i, t in texts
+        for pos, line in enumerate((t or "").split("\n"))
+        if _words(line)
+    ]
     distinct = sorted({n for _, n in lines})
-    of = {n: simhash[key] for key, n in lines}
     up = {n: n for n in distinct}
 
     def root(x):
@@ -51,20 +44,28 @@ def test_line_groups_agree_with_brute_force(spark, docs, texts):
 
     for k, a in enumerate(distinct):
         for b in distinct[:k]:
-            if bin((of[a] ^ of[b]) & (1 << 64) - 1).count("1") <= line_dedup.BITS_APART:
-                a_words, b_words = a.split(), b.split()
-                if _distance(a_words, b_words) <= int(max(len(a_words), len(b_words)) * 0.2 + 1e-9):
-                    up[root(a)] = root(b)
+            if _linked(a.split(), b.split()):
+                up[root(a)] = root(b)
     stays = {}
-    for key, n in sorted(lines):
+    for key, n in sorted(lines, key=lambda x: (x[0][0], x[0][1] or 0, *x[0][2:])):
         stays.setdefault(root(n), key)
     gone = defaultdict(set)
     for key, n in lines:
         if stays[root(n)] != key:
-            gone[key[:2]].add(key[2])
+            gone[key[1:3]].add(key[3])
+    return gone
+
+
+def _bodies(docs):
+    return {(r["doc_id"], r["text"]): r["b"] for r in docs.select("doc_id", "text", F.xxhash64("text").alias("b")).collect()}
+
+
+def test_line_groups_agree_with_brute_force(spark, docs, texts):
     found = line_dedup.deduplicate_lines(docs)
     assert found.columns == [c for c in docs.columns] + ["n_lines", "n_removed"]
     result = sorted(((r["doc_id"], r["text"], r["n_removed"]) for r in found.collect()), key=str)
+    body_of = _bodies(docs)
+    gone = _kept_lines(texts, body_of)
     expected = []
     for i, t in texts:
         drop = gone[i, body_of[i, t]]
@@ -74,12 +75,41 @@ def test_line_groups_agree_with_brute_force(spark, docs, texts):
     assert result == sorted(expected, key=str)
 
 
+def test_lines_with_edits_of_every_kind_and_length_are_linked(spark):
+    """Words changed, dropped and added, up to the bound and beyond, in short and long
+    lines; signs, case, and letters that are words of their own."""
+    rng, texts = random.Random(8), []
+    for n in (4, 5, 6, 9, 10, 14, 15, 24, 60):
+        words = [rng.choice(WORDS) for _ in range(n)]
+        for k in range(int(n * 0.2) + 2):
+            for kind in range(4):
+                line = list(words)
+                for at in sorted(rng.sample(range(len(line)), min(k, len(line))), reverse=True):
+                    change = rng.randrange(3) if kind == 3 else kind
+                    if change == 0:
+                        line[at] = rng.choice(WORDS)
+                    elif change == 1:
+                        del line[at]
+                    else:
+                        line.insert(at, rng.choice(WORDS))
+                texts.append((len(texts), " ".join(line) if kind else ", ".join(line).upper() + "."))
+    zh = "这是一个很长的句子里面没有空格"
+    texts += [(len(texts), zh), (len(texts) + 1, zh.replace("长", "短")), (len(texts) + 2, zh[:7])]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    body_of = _bodies(rows)
+    brute = [(i, re.sub("([\u4e00-\u9fff])", r" \1 ", t)) for i, t in texts]
+    gone = _kept_lines(brute, {(i, b): body_of[i, t] for (i, t), (_, b) in zip(texts, brute)})
+    found = {r["doc_id"]: r["n_removed"] for r in line_dedup.deduplicate_lines(rows).collect()}
+    assert found == {i: len(gone[i, body_of[i, t]]) for i, t in texts}
+    assert 30 < sum(found.values()) < len(texts) - 10
+
+
 def test_line_dedup_of_nothing_and_of_one_line_documents(spark, nothing):
     assert line_dedup.deduplicate_lines(nothing).count() == 0
     same = "one two three four five six"
     rows = spark.createDataFrame([(2, same), (1, same.upper()), (None, same), (3, "a b\na b")], "doc_id long, text string")
     found = {(r["doc_id"], r["text"]) for r in line_dedup.deduplicate_lines(rows).collect()}
-    assert found == {(1, same.upper()), (2, ""), (None, ""), (3, "a b\na b")}
+    assert found == {(1, same.upper()), (2, ""), (None, ""), (3, "a b")}
 
 
 _ENTRIES = [
@@ -129,23 +159,69 @@ def test_the_entry_valid_at_the_time_of_the_fetch_decides(spark):
     assert _decide(spark, urls[:0]) == []
 
 
+def _scanned(spark, rows):
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return sorted((tuple(r) for r in found), key=str)
+
+
 def test_licenses_are_found_in_any_spelling(spark, docs, nothing):
-    mit = licenses.WHOLE["MIT"]
+    mit = "MIT License\n\n" + licenses.WHOLE["MIT"]
     rows = [
         (1, mit), (2, "Copyright (c) 2020 Someone\n" + mit.upper().replace(",", " ;")),
-        (3, "prose\nLicensed under the APACHE LICENCE, version 2.0!\nmore"), (4, "Released under the MIT Licence."),
+        (3, "prose\nLicensed under the APACHE LICENCE, v. 2.0!\nmore"), (4, "Released under the MIT Licence."),
         (5, mit + " more"), (6, None), (7, ""), (8, "CC BY-NC 4.0\nMIT License\nMIT License"),
-        (8, "CC BY-NC 4.0\nMIT License\nMIT License"),
+        (8, "CC BY-NC 4.0\nMIT License\nMIT License"), (None, "MIT License"),
     ]
-    found = sorted(tuple(r) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    assert found == [
+    assert _scanned(spark, rows) == sorted([
         (1, "MIT", "MIT", 1), (2, "MIT", "MIT", 1), (3, None, "Apache-2.0", 1), (4, "MIT", "MIT", 1),
         (5, None, "MIT", 1), (6, None, "", 0), (7, None, "", 0), (8, None, "CC-BY-NC-4.0,MIT", 6),
-        (8, None, "CC-BY-NC-4.0,MIT", 6),
-    ]
+        (8, None, "CC-BY-NC-4.0,MIT", 6), (None, "MIT", "MIT", 1),
+    ], key=str)
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(nothing).count() == 0
 
 
+def test_every_licence_is_found_whole_retitled_and_inside_a_longer_file(spark):
+    import textwrap
+
+    texts = {name: text for name, text in licenses.known_texts() if len(text) > 600}
+    assert len(texts) >= 17
+    rows, expected = [], {}
+    for i, (name, text) in enumerate(sorted(texts.items())):
+        narrow = "\n".join(textwrap.fill(p, 50) for p in text.split("\n\n"))
+        rows += [
+            (10 * i, text), (10 * i + 1, narrow.upper().replace("LICENSE", "LICENCE")),
+            (10 * i + 2, "A readme.\nSome words of it.\n\nCopyright (c) 2001 Me\n" + narrow + "\nAnd more\n"),
+            (10 * i + 3, "# prose\n" + "\n".join("# " + line for line in text.split("\n"))),
+            (10 * i + 4, text[: len(text) // 2] + " changed " + text[len(text) // 2 :]),
+        ]
+        expected |= {10 * i: (name, True), 10 * i + 1: (name, True), 10 * i + 2: (name, False), 10 * i + 3: (name, False)}
+    for doc_id, whole, found, _ in _scanned(spark, rows):
+        name, entire = expected.get(doc_id, (None, False))
+        assert (whole == name) == entire or whole is None and not entire
+        if name:
+            assert name in found.split(","), (name, doc_id)
+        else:
+            stem = sorted(texts)[doc_id // 10]
+            assert whole is None and (stem not in found.split(",") or doc_id // 10 * 10 in expected)
+    titled = [(i, f"{t}\n\nCopyright 1999 X\n\n{licenses.WHOLE[n]}") for i, (n, t) in enumerate((n, t) for n, ts in licenses.TITLES.items() for t in ts)]
+    names = [n for n, ts in licenses.TITLES.items() for _ in ts]
+    assert [(r[0], r[1]) for r in sorted(_scanned(spark, titled))] == list(enumerate(names))
+
+
+def test_heads_of_files_are_found(spark):
+    import textwrap
+
+    head = {
+        "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        **licenses.HEADERS,
+    }
+    rows = [
+        (i, "/*\n" + textwrap.indent(textwrap.fill(text, 60), " * ") + "\n */\nint main;\n") for i, text in enumerate(head.values())
+    ]
+    assert [(r[0], r[2]) for r in sorted(_scanned(spark, rows))] == list(enumerate(head))
+
+
 def test_lines_are_linked_by_their_words_alone(spark):
     """Recall by length, against lines made with as many edits as are allowed."""
     rng = random.Random(6)
