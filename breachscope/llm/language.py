@@ -1,11 +1,12 @@
 """Language of a text: sparse multinomial logistic regression on character n-grams.
 
-Features are hashed n-grams of the lower-cased bytes, weighted by term frequency and
+Features are hashed n-grams of lower-cased characters, weighted by term frequency and
 inverse document frequency and scaled to length one. The document frequencies are
 counted over every row that may be learnt from. The weights are trained by the
 follow-the-regularised-leader rule with an elastic-net penalty on a bounded sample of
 labelled rows, and a temperature fitted on a further part of that sample makes the
-scores honest. Sample and model have a fixed size; the model travels with the tasks.
+scores honest. Sample and model are bounded (rows, features, labels); the model travels
+with the tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from breachscope.llm import kernel
@@ -24,6 +25,9 @@ from breachscope.session import settle
 FEATURES = 1 << 16
 GRAMS = (1, 2, 3)
 SAMPLE_ROWS = 4000  # rows to train on, and a quarter as many for the temperature
+# Features of the sample, all rows together, and labels that a model can tell apart.
+SAMPLE_FEATURES = 16_000_000
+MAX_LABELS = 256
 UNKNOWN = "und"
 
 
@@ -36,18 +40,24 @@ class Model:
     temperature: float
 
 
+def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, a blank after each, and where each text starts."""
+    points = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    return points, np.concatenate(([0], np.cumsum(lengths + 1)))
+
+
 def feature_counts(rows: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Features and their counts of each row. Case of ASCII letters, digits and runs
-    of white space make no difference; n-grams do not cross rows."""
-    data, row_start = kernel.joined(rows)
-    data = data.astype(np.uint32)
-    data[(data >= 48) & (data <= 57)] = 48
-    data[(data >= 9) & (data <= 13)] = 32
+    """Features and their counts of each row. Case, ASCII digits and runs of white space
+    make no difference; n-grams are of characters, in any script, and do not cross rows."""
+    points, row_start = _characters([r.decode("utf-8", "replace").lower() for r in rows])
+    points[(points >= 48) & (points <= 57)] = 48
+    points[(points >= 9) & (points <= 13)] = 32
     hashed = []
-    running = np.zeros(len(data), np.uint32)
+    running = np.zeros(len(points), np.uint32)
     for n in range(1, max(GRAMS) + 1):
-        size = max(len(data) - n + 1, 0)
-        running = running[:size] * np.uint32(0x01000193) + data[n - 1 :] + np.uint32(n)
+        size = max(len(points) - n + 1, 0)
+        running = running[:size] * np.uint32(0x01000193) + points[n - 1 :] + np.uint32(n)
         if n in GRAMS:
             h = running * np.uint32(0x9E3779B1)
             hashed.append((h >> np.uint32(32 - FEATURES.bit_length() + 1)).astype(np.int32))
@@ -129,9 +139,8 @@ def _document_frequencies(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
-            rows = kernel.byte_rows(batch.column(0))
-            for a, b in kernel.blocks(rows):
-                for found, _ in feature_counts(rows[a:b]):
+            for _, rows in kernel.text_blocks(batch.column(0)):
+                for found, _ in feature_counts(rows):
                     sums[found] += 1
                     sums[-1] += 1
         if sums[-1]:
@@ -171,17 +180,22 @@ def fit(
     text_col: str = "text",
     label_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
+    sample_features: int = SAMPLE_FEATURES,
 ) -> Model | None:
     """Learn from the rows where ``learn`` holds and text and label are known.
 
     The sample is drawn by a hash of the row, evenly over the labels, whatever the
-    order of the input. None when no such row exists."""
+    order of the input: ``sample_rows`` rows and a quarter as many for the temperature,
+    fewer where their features are more than ``sample_features`` in all. More than
+    ``MAX_LABELS`` labels are refused. None when no such row exists."""
     usable = docs.where(learn & F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(label_col).alias("label")
     )
-    totals = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    totals = {r["label"]: r["count"] for r in usable.groupBy("label").count().limit(MAX_LABELS + 1).collect()}
     if not totals:
         return None
+    if len(totals) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels to learn")
     labels = tuple(sorted(totals))
     df = _document_frequencies(usable.select("text"))
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
@@ -235,9 +249,17 @@ def fit(
 
     # The limit holds where repeated rows share one hash and all pass the threshold.
     rows = settle(chosen.orderBy("h").limit(wanted).mapInArrow(sample, "label string, h long, found binary, counts binary"))
+    # Short rows only: where in the order of the hashes the features are too many.
+    upto = F.sum(F.octet_length("found") / 4).over(Window.orderBy("h"))
+    least, last = (
+        rows.select("h", upto.alias("upto"))
+        .agg(F.min("h"), F.max(F.when(F.col("upto") <= sample_features, F.col("h"))))
+        .first()
+    )
     # The sample is bounded, so one task can train on it.
     trained = (
-        rows.groupBy().applyInArrow(learn_all, "weights binary, bias binary, temperature double")
+        rows.where(F.col("h") <= F.lit(least if last is None else last))
+        .groupBy().applyInArrow(learn_all, "weights binary, bias binary, temperature double")
     ).collect()[0]
     return Model(
         labels,
@@ -272,10 +294,9 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
         table[:] = m.weights
         for batch in batches:
             letters = batch.column(flag).to_pylist()
-            rows = kernel.byte_rows(batch.column(at))
             langs, scores = [], []
-            for a, b in kernel.blocks(rows):
-                for has, (found, counts) in zip(letters[a:b], feature_counts(rows[a:b]), strict=True):
+            for a, rows in kernel.text_blocks(batch.column(at)):
+                for has, (found, counts) in zip(letters[a : a + len(rows)], feature_counts(rows), strict=True):
                     if not has:
                         langs.append(UNKNOWN)
                         scores.append(0.0)

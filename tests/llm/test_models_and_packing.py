@@ -1,6 +1,7 @@
+import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -99,6 +100,83 @@ def test_language_is_learnt_from_allowed_rows_only(spark, sf_dir, nothing):
     assert language.predict(docs, None).where("lang_pred <> 'und'").count() == 0
 
 
+def _plain_features(text: str) -> Counter:
+    """Hashed n-grams of characters, one after the other."""
+    chars = [48 if c in "0123456789" else 32 if 9 <= ord(c) <= 13 else ord(c) for c in text.lower()]
+    out = Counter()
+    for n in language.GRAMS:
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for k, c in enumerate(chars[i : i + n], 1):
+                h = (h * 0x01000193 + c + k) % 2**32
+            out[(h * 0x9E3779B1) % 2**32 >> 16] += 1
+    return out
+
+
+def test_features_are_character_ngrams_in_every_script():
+    texts = ["Hello 42\tWorld", "", "a", "Ελληνικά και ΆΛΛΑ", "日本語テキスト", "İstanbul ß", "नमस्ते दुनिया", "👍🏽x"]
+    found = list(language.feature_counts([t.encode() for t in texts]))
+    assert [dict(zip(f.tolist(), c.tolist())) for f, c in found] == [dict(_plain_features(t)) for t in texts]
+    assert language.FEATURES == 1 << 16
+
+
+def test_one_epoch_is_the_plain_update_rule():
+    """Weights from sums of gradients, one row and one coordinate at a time."""
+    texts = [f"{w} {prose(i, 6)}" for i, w in enumerate(("ein haus", "une maison", "a house") * 5)]
+    targets = np.array([0, 1, 2] * 5)
+    idf = np.ones(language.FEATURES)
+    rows = list(language.feature_counts([t.encode() for t in texts]))
+    vectors = [(f, language._vector(f, c, idf)) for f, c in rows]
+    for f, v in vectors:
+        assert (v * v).sum() == pytest.approx(1)
+    got, bias = language.train(vectors, targets, 3, alpha=0.4, beta=0.9, l1=0.03, l2=0.05, epochs=1)
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(at, k):
+        if abs(z[at, k]) <= 0.03:
+            return 0.0
+        return -(z[at, k] - math.copysign(0.03, z[at, k])) / ((0.9 + math.sqrt(n[at, k])) / 0.4 + 0.05)
+
+    for i in np.random.default_rng(11).permutation(len(vectors)):
+        x = [*zip(vectors[i][0].tolist(), vectors[i][1].tolist()), ("bias", 1.0)]
+        w = {(at, k): weight(at, k) for at, _ in x for k in range(3)}
+        score = [math.exp(sum(v * w[at, k] for at, v in x)) for k in range(3)]
+        for at, v in x:
+            for k in range(3):
+                g = v * (score[k] / sum(score) - (k == targets[i]))
+                sigma = (math.sqrt(n[at, k] + g * g) - math.sqrt(n[at, k])) / 0.4
+                z[at, k] += g - sigma * w[at, k]
+                n[at, k] += g * g
+    for f, _ in vectors:
+        assert np.allclose(got[f], [[weight(at, k) for k in range(3)] for at in f.tolist()], atol=1e-12)
+    assert np.allclose(bias, [weight("bias", k) for k in range(3)]) and (got != 0).any()
+
+
+def test_scripts_of_three_bytes_a_letter_are_told_apart(spark):
+    letters = {"ja": "あいうえおかきくけこさしすせそ", "th": "กขคงจฉชซญดตถทธน", "hi": "कखगघचछजझटठडढतथद"}
+    rng = random.Random(4)
+    rows = [
+        (i, "".join(rng.choice(letters[k]) + (" " if rng.random() < 0.2 else "") for _ in range(40)), k)
+        for i, k in enumerate(list(letters) * 30)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.col("doc_id") < 60)
+    found = language.predict(docs, model).where("doc_id >= 60").collect()
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.5 for r in found)
+
+
+def test_the_sample_is_bounded_in_features_and_labels(spark, monkeypatch):
+    rows = [(i, prose(i, 40), "ab"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small = language.fit(docs, F.lit(True), sample_features=3000)
+    whole = language.fit(docs, F.lit(True))
+    assert (small.weights != 0).any(axis=1).sum() < (whole.weights != 0).any(axis=1).sum()
+    assert language.fit(docs, F.lit(True), sample_features=1).labels == ("a", "b")  # one row at least
+    monkeypatch.setattr(language, "MAX_LABELS", 1)
+    with pytest.raises(ValueError, match="more than 1 labels"):
+        language.fit(docs, F.lit(True))
+
+
 def test_training_separates_and_calibration_minds_errors():
     rng = np.random.default_rng(1)
     vectors, targets = [], []

@@ -1,8 +1,11 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from breachscope.llm import decontamination, language, line_dedup
 from breachscope.llm.jaccard import jaccard_components
+from breachscope.session import shared_folder, work
 
 
 def test_each_stage_keeps_clean_documents_and_acts_on_the_others(spark, sf_dir, tmp_path):
@@ -56,3 +59,57 @@ def test_rows_are_kept_or_dropped_by_row_not_by_id(spark, sf_dir):
     near = [(2, one), (2, one), (None, one), (1, one), (1, two), (3, two), (None, three), (None, three)]
     assert kept(P.remove_near_copies, near) == [(1, one), (1, two), (None, three)]
     assert kept(P.remove_benchmarks, [(None, item), (5, item), (5, two), (None, one)]) == [(5, two), (None, one)]
+
+
+def _tables(spark):
+    folder = Path(shared_folder(spark)) / "breachscope" / spark.sparkContext.applicationId
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_a_stage_removes_what_the_one_before_left(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    others, left = _tables(spark), []
+    with work(spark, P._WORK):
+        others = _tables(spark)  # of frames that have nothing to do with the pipeline
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        left.append(_tables(spark) - others)
+    for before, after in zip(left, left[1:]):
+        assert not before & after
+    assert max(map(len, left)) <= 16
+    with work(spark, P._WORK, docs):
+        assert _tables(spark) == others
+    # A frame that is still to be read keeps its tables.
+    rows = spark.read.parquet(str(tmp_path / "docs"))
+    unread = P.remove_repeated_lines(spark, rows, sf_dir)
+    kept = P.remove_benchmarks(spark, unread, sf_dir)
+    assert kept.count() > 0
+
+
+def test_run_stores_its_result_and_nothing_else(spark, sf_dir):
+    before = _tables(spark)
+    pieces = P.run(spark, sf_dir)
+    assert len(_tables(spark) - before) == 1 and pieces.count() > 0
+
+
+def test_every_stage_takes_null_and_repeated_ids(spark, sf_dir):
+    text = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'en' AND n_chars > 400").orderBy("doc_id").first()["text"]
+    other = "\n".join(f"some other words of line {w} that say {w} {w}s here" for w in ("one", "two", "red", "blue"))
+    rows = [(None, text, "en"), (None, text, None), (7, text, "en"), (7, other, "en"), (7, other, "en"), (None, None, None), (8, "", "en")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, k, "s", None) for i, t, k in rows], schema)
+    ids = lambda df: sorted((str(r["doc_id"]) for r in df.collect()))
+    known = P.identify_language(spark, docs, sf_dir)
+    assert ids(known) == ["7", "7", "7", "None", "None"]  # null and empty texts have no language
+    lines = P.remove_repeated_lines(spark, docs, sf_dir).collect()
+    assert len(lines) == len(rows) and sum(r["text"] == other for r in lines) == 2
+    assert [r["n_chars"] for r in lines if r["text"] is None] == [None]
+    assert len(ids(P.remove_near_copies(spark, docs, sf_dir))) == 4  # two texts, null, empty
+    assert len(ids(P.remove_benchmarks(spark, docs, sf_dir))) == len(rows)
+    pieces = P.pack_sequences(spark, docs, sf_dir).collect()
+    assert sum(r["length"] for r in pieces if r["start"] == 0 and r["doc_tokens"] == 1) == 2
+    assert sum(r["start"] == 0 for r in pieces) == len(rows)
