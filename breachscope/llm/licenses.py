@@ -37,7 +37,8 @@ SPELLINGS = [
     ("&", " and "),
     ("http://", "https://"),
 ]
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:\(c\)|©|copyright[ \t]*(?:\(c\)|©|[0-9<\[{]))[^\n]*$"
+# An enumerator "(c)" or a word at the start of a broken line is no copyright line.
+COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:©|\(c\)[ \t]*(?:copyright|[0-9<\[{])|copyright[ \t]*(?:\(c\)|©|[0-9<\[{]))[^\n]*$"
 # Applied when nothing but letters, digits, blanks and line ends is left.
 VERSION = r"\bv ?([0-9])"
 
