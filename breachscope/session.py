@@ -118,16 +118,17 @@ def clear_work(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
     Used where a frame is read more than once: the later readers prune columns
     on the Parquet files instead of repeating the shuffle behind ``df``, and a
     lost executor costs a re-read, not a recomputation. The table stays until it is
-    released or the work is cleared.
+    released or the work is cleared. ``compression`` is for tables of text, which take
+    much of the folder.
     """
     spark = df.sparkSession
     path = work_path(spark)
     _tables(spark, _scope.get()).add(path)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
