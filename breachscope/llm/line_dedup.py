@@ -213,7 +213,7 @@ def _candidates(pairs: DataFrame, lines: DataFrame, similarity: float, min_words
     hopeful = settle(pairs.join(meta[0], "a").join(meta[1], "b").where(close).select("a", "b"))
     ends = settle(hopeful.select(F.col("a").alias("line")).union(hopeful.select(F.col("b").alias("line"))).distinct())
     wanted = F.broadcast(ends) if ends.count() <= BROADCAST_LINES else ends
-    texts = settle(lines.join(wanted, "line", "left_semi").select("line", "norm"))
+    texts = settle(lines.join(wanted, "line", "left_semi").select("line", "norm"), compression="zstd")
     linked = _similar(hopeful, texts, similarity)
     release(ends, texts, hopeful)
     return linked
@@ -230,13 +230,15 @@ def line_groups(
         raise ValueError("keys find all links from a similarity of 0.75 only")
     # Null ids sort first in a struct; here they come last.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body", "pos")
-    made = settle(_lines(docs).withColumn("digest", _digest(F.col("norm"))))
+    # Made twice, here and for the final join: a table of all lines would hold the texts.
+    made = _lines(docs).withColumn("digest", _digest(F.col("norm")))
     occurrences = made.drop("norm")
     lines = settle(
         made.groupBy("digest")
         .agg(F.first("norm").alias("norm"), F.min(place).alias("keep"), F.count(F.lit(1)).alias("occurs"))
         .withColumns({"n": F.size(F.split("norm", " ")), "parity": _parity(F.col("norm"))})
-        .withColumn("line", F.monotonically_increasing_id())
+        .withColumn("line", F.monotonically_increasing_id()),
+        compression="zstd",
     )
 
     keyed = _keyed(lines.select("line", "n", "norm"), similarity, min_words)
