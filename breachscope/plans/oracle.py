@@ -556,7 +556,8 @@ def _sound_check_texts() -> dict[str, str]:
                     ("no_missing_values", _missing(
                         "assignment_group", "bottleneck_class", "driver_segment", *_DRIVER_METRICS)),
                     ("segment_rule", "(driver_segment='Critical Bottleneck') <> (bottleneck_class='Critical Bottleneck')"),
-                    ("class_set", "=abs(count(DISTINCT bottleneck_class) - (SELECT count(DISTINCT bottleneck_class) FROM bot))"),
+                    ("class_set", "=max((SELECT count(*) FROM (SELECT bottleneck_class FROM drv EXCEPT SELECT bottleneck_class FROM bot))"
+                     " + (SELECT count(*) FROM (SELECT bottleneck_class FROM bot EXCEPT SELECT bottleneck_class FROM drv)))"),
                     ("critical_count", "=abs(count(*) FILTER (WHERE driver_segment='Critical Bottleneck')"
                      " - (SELECT count(*) FROM bot WHERE bottleneck_class='Critical Bottleneck'))"),
                     ("eligible_groups", "=max((SELECT count(*) FROM (SELECT DISTINCT assignment_group FROM grp WHERE eligible_for_comparison) g"
