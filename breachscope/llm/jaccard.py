@@ -14,7 +14,7 @@ Every pair of documents whose shingle sets reach the threshold is connected, exa
    then any partner shares a single shingle or a whole pair. Sets too small for that
    index single shingles only; sizes about the border do both.
 4. In every list of the index each set is compared with the list's smallest one only, then
-   with one or two others where that leaves several components. Few are left; then sets of different components that share a list
+   with another where that leaves several components. Few are left; then sets of different components that share a list
    are compared, once for all lists that they share, and nothing else needs to be. So a
    group of thousands of near copies costs its size, not its square, and no link between
    components is lost.
@@ -47,8 +47,8 @@ _FREQUENT = 64  # a shingle is frequent in a bucket of so many more than the mea
 _LEAST_SKETCH, _LARGEST_SKETCH = 512, 1 << 16  # bits
 # Documents whose sets are to be compared are broadcast up to this many (24 bytes each).
 BROADCAST_DOCUMENTS = 1_000_000
-# Further sets of a list that all others of it are compared with.
-_MORE_STARS = 2
+# Further sets of a list that all others of it are compared with. Each takes a round of jobs.
+_MORE_STARS = 1
 # A set that is in more open lists than this does not carry them.
 _LISTS_CARRIED = 256
 _PART_BITS = 14  # buckets travel in rows of 2**14 counts
