@@ -25,7 +25,7 @@ from breachscope.plans import faults
 from breachscope.session import settle, work_path
 from breachscope.sources import incidents as I
 from breachscope.sources import mapping as M
-from breachscope.sources.csv_format import WRITE_OPTIONS
+from breachscope.sources.csv_format import STORED_OPTIONS, WRITE_OPTIONS
 from breachscope.sources.events import read_event_log
 from breachscope.sources.reports import write_report
 
@@ -182,20 +182,25 @@ def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _several_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as several files in two column orders, with free text in a column, read
-    and collapsed. The text of a first event is that of a document."""
+    and collapsed. The text of a first event is that of a document.
+
+    Events are shuffled without the texts, to the documents: the joined rows, which hold
+    a text for each incident, are sorted and written where they are made."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     count = documents.agg(F.count("*").alias("n")).scalar()
     order = F.substring("number", 4, 20).cast("bigint")
     first = F.col(f"{L.ROW_ORDER}.l_linenumber") == 1
-    log = M.raw_event_log(spark, sf_dir).withColumn("_doc", F.when(first, F.pmod(order, count)))
-    texts = documents.select(F.col("doc_id").alias("_doc"), "text")
-    log = log.join(texts, "_doc", "left").withColumn("u_symptom", F.coalesce("text", F.lit("?")))
-    log = log.repartition(6, "number").sortWithinPartitions(L.ROW_ORDER)
+    texts = documents.select(F.col("doc_id").alias("_of"), F.col("text").alias("u_symptom"))
     path = work_path(spark)
     even = F.pmod(order, F.lit(2)) == 0
     names = S.RAW_COLUMNS
     for half, columns in ((even, names), (~even, [*reversed(names)])):
-        log.where(half).select(columns).write.mode("append").options(**WRITE_OPTIONS).csv(path)
+        events = M.event_log(spark, sf_dir).where(half).withColumn("_doc", F.pmod(order, count))
+        # Told to partition by document, Spark does not split a partition for its size: all
+        # events of an incident come into one file.
+        log = events.repartition("_doc").join(texts, (F.col("_doc") == F.col("_of")) & first, "left")
+        log = M.as_texts(log.sortWithinPartitions("_doc", L.ROW_ORDER))
+        log.select(columns).write.mode("append").options(**STORED_OPTIONS).csv(path)
     collapsed = L.clean_incidents(
         read_event_log(spark, path), ["sys_updated_at", "made_sla", "reassignment_count", "u_symptom"]
     )

@@ -26,6 +26,9 @@ WRITE_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
 
+# For files that are read back by this library; fields like "?" make most of a log.
+STORED_OPTIONS = {**WRITE_OPTIONS, "compression": "gzip"}
+
 
 def read_options(multiline: bool = True) -> dict[str, object]:
     """Reader options. ``multiline=False`` lets Spark split files, which is right only for

@@ -80,7 +80,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as the all-text log a help desk exports."""
-    typed = event_log(spark, sf_dir)
+    return as_texts(event_log(spark, sf_dir))
+
+
+def as_texts(typed: DataFrame) -> DataFrame:
+    """Events in the columns of the export; what they lack is unknown."""
     present = {f.name: f.dataType.typeName() for f in typed.schema}
     shown = []
     for name in S.RAW_COLUMNS:
