@@ -25,7 +25,7 @@ from breachscope.plans import faults
 from breachscope.session import settle, work_path
 from breachscope.sources import incidents as I
 from breachscope.sources import mapping as M
-from breachscope.sources.csv_format import STORED_OPTIONS, WRITE_OPTIONS
+from breachscope.sources.csv_format import STORED_OPTIONS
 from breachscope.sources.events import read_event_log
 from breachscope.sources.reports import write_report
 
@@ -172,7 +172,7 @@ def _merged_reference(incidents: DataFrame) -> DataFrame:
 
 def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark)
-    M.raw_event_log(spark, sf_dir).drop(L.ROW_ORDER).write.options(**WRITE_OPTIONS).csv(path)
+    M.raw_event_log(spark, sf_dir).drop(L.ROW_ORDER).write.options(**STORED_OPTIONS).csv(path)
     log = read_event_log(spark, path)
     return L.type_events(log).select(
         "number", *S.EVENT_TIMES, *S.EVENT_FLAGS, *S.EVENT_COUNTERS, *S.FACTOR_COLUMNS[:1],
@@ -359,7 +359,7 @@ def _guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark)
     for names in (S.RAW_COLUMNS, S.RAW_COLUMNS[::-1]):
         log = M.raw_event_log(spark, sf_dir).select(names)
-        log.write.mode("append").options(**WRITE_OPTIONS).csv(path)
+        log.write.mode("append").options(**STORED_OPTIONS).csv(path)
     cases = {
         "sound input": lambda: R.risk_portfolio(scores, strict=True),
         "missing column": lambda: G.sla_category(incidents.drop("category")),

@@ -57,3 +57,16 @@ def test_a_log_with_free_text_takes_less_than_its_texts(spark, tables, stored):
         assert r["reassignment_count"] == 0
     written = sum(len(texts[i % DOCUMENTS] or "") for i in range(ORDERS))
     assert sum(file.stat().st_size for file in stored()) < written / 3
+
+
+def test_guards_packs_the_log_it_stores_twice(spark, tables, stored):
+    folder, _, events = tables
+    rows = queries.registry()["guards"](spark, folder).collect()
+    assert {r["case_name"] for r in rows if not r["error_raised"]} == {"sound input"}
+    assert {r["incidents"] for r in rows} == {ORDERS}
+    files = stored()
+    logs = [spark.read.option("header", True).csv(str(file)) for file in files]
+    assert {tuple(log.columns) for log in logs} == {tuple(RAW_COLUMNS), tuple(RAW_COLUMNS[::-1])}
+    assert sum(log.count() for log in logs) == 2 * events
+    plain = sum(len(",".join(str(v) for v in row)) for log in logs for row in log.collect())
+    assert sum(file.stat().st_size for file in files) < plain / 2
