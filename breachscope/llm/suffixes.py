@@ -13,8 +13,8 @@ ascending order: each is placed by the rank of its successor, which is known by
 Neighbours with a common prefix of ``length`` bytes are occurrences of one string, and
 the smallest document id among them decides for all of them.
 
-An anchor in many chunks, that of a short line in a third of all documents, say, would
-gather a context from each of them in one bucket. Its strings are dealt one by one
+An anchor in many chunks that has other bytes around it in each, that of a short line in
+a third of all documents, say, would gather a context from each of them in one bucket. Its strings are dealt one by one
 instead, by a hash of their own: equal ones still meet, and no bucket grows with the anchor.
 
 The texts are shuffled once, into chunks by id; anchors, contexts and the final cut are
@@ -37,7 +37,8 @@ from breachscope.llm import kernel
 LENGTH = 50
 GRAM = 20
 CHUNK_BYTES = 4 << 20
-# An anchor in so many chunks is split. Fewer than that hold a bounded number of contexts.
+# An anchor with so many contexts, each counted once, in so many chunks is split. Fewer
+# than that are a bounded number of rows from each chunk.
 HOT_CHUNKS = 32
 _NO_ID = 2**63 - 1
 # Marks a context that is a single string of a split anchor.
@@ -254,7 +255,7 @@ def _column(table: pa.Table, name: str) -> list:
     return table.column(name).to_pylist()
 
 
-_ANCHORS = "bucket int, chunk long, keys binary, several binary"
+_ANCHORS = "bucket int, chunk long, keys binary, around binary, several binary"
 _REPEATED = "chunk long, bucket int, keys binary, hot binary"
 _CONTEXTS = "bucket int, chunk long, hash binary, least binary, greatest binary, size binary, text binary"
 _OWNERS = "chunk long, hash binary, first binary, count binary, owner binary"
@@ -263,6 +264,38 @@ _CUT = (
 )
 
 
+_PACKED = ("least", "greatest", "size", "text")
+
+
+def _turned(raw: bytes, rows: int) -> bytes:
+    """The bytes of a table of so many rows, column by column."""
+    return np.frombuffer(raw, np.uint8).reshape(rows, -1).T.tobytes() if raw else raw
+
+
+def _packed(contexts: pa.Table) -> pa.Table:
+    """The columns but the hashes as they are shuffled: smaller than the shuffle makes
+    them. The first bytes of all ids come first, then the second ones, and so on."""
+    for name in _PACKED:
+        made = []
+        for raw in _column(contexts, name):
+            plain = raw if name == "text" else _turned(raw, len(raw) // (2 if name == "size" else 8))
+            made.append(len(raw).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True))
+        at = contexts.schema.get_field_index(name)
+        contexts = contexts.set_column(at, name, pa.array(made, pa.binary()))
+    return contexts
+
+
+def _unpacked(contexts: pa.Table) -> pa.Table:
+    for name in _PACKED:
+        made = []
+        for raw in _column(contexts, name):
+            plain = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+            made.append(plain if name == "text" else _turned(plain, 2 if name == "size" else 8))
+        at = contexts.schema.get_field_index(name)
+        contexts = contexts.set_column(at, name, pa.array(made, pa.binary()))
+    return contexts
+
+
 def _table(schema: str, rows: list[tuple]) -> pa.Table:
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
     fields = [f.split(" ") for f in schema.split(", ")]
@@ -274,16 +307,23 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
 
 
 def _anchors(chunk: int, c: Chunk, buckets: int) -> pa.Table:
-    """Each anchor of the chunk once, and whether several of its documents have it."""
-    order = np.lexsort((c.anchor, _bucket(c.anchor, buckets)))
-    anchor, row = c.anchor[order], c.row[order]
+    """Each anchor of the chunk with each of its contexts, of which 16 bits of the hash
+    are sent, and whether several of its documents have it."""
+    around = c.contexts() & np.uint64(0xFFFF)
+    order = np.lexsort((around, c.anchor, _bucket(c.anchor, buckets)))
+    anchor, around, row = c.anchor[order], around[order], c.row[order]
     rows = []
     if len(anchor):
-        start = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+        new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+        start = np.flatnonzero(new)
         several = np.minimum.reduceat(row, start) < np.maximum.reduceat(row, start)
-        anchor = anchor[start]
+        several = np.repeat(several, np.diff(np.append(start, len(anchor))))
+        start = np.flatnonzero(new | np.concatenate(([True], around[1:] != around[:-1])))
+        anchor, around, several = anchor[start], around[start], several[start]
         for b, i, j in _split(_bucket(anchor, buckets)):
-            rows.append((b, chunk, _pack40(anchor[i:j]), np.packbits(several[i:j]).tobytes()))
+            rows.append(
+                (b, chunk, _pack40(anchor[i:j]), around[i:j].astype("<u2").tobytes(), np.packbits(several[i:j]).tobytes())
+            )
     return _table(_ANCHORS, rows)
 
 
@@ -301,15 +341,25 @@ def _repeated(table: pa.Table) -> pa.Table:
     )
     bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
     joined = np.concatenate(keys)
-    _, back, counts = np.unique(joined, return_inverse=True, return_counts=True)
-    good = (counts[back] > 1) | several
+    around = np.concatenate([np.frombuffer(x, "<u2") for x in _column(table, "around")])
+    # A chunk has an anchor in neighbouring places, once for each of its contexts.
+    new = np.concatenate(([True], joined[1:] != joined[:-1]))
+    new[bounds[:-1]] = True
+    once = np.flatnonzero(new)
+    _, back, chunks_of = np.unique(joined[once], return_inverse=True, return_counts=True)
+    good = (chunks_of[back] > 1) | np.logical_or.reduceat(several, once)
+    # Forty bits of the anchor and sixteen of the context.
+    contexts = np.unique(joined << np.uint64(16) | around.astype(np.uint64)) >> np.uint64(16)
+    kinds = np.unique(contexts, return_counts=True)[1]
+    hot = (np.minimum(kinds, chunks_of) >= HOT_CHUNKS)[back]
+    ends = np.searchsorted(once, bounds)
     rows = []
     for i, chunk in enumerate(chunks):
-        own = slice(bounds[i], bounds[i + 1])
-        kept = keys[i][good[own]]
+        kept = np.arange(ends[i], ends[i + 1])
+        kept = kept[good[kept]]
         if len(kept):
-            hot = counts[back[own]][good[own]] >= HOT_CHUNKS
-            rows.append((chunk, bucket, _pack40(kept << np.uint64(24)), np.packbits(hot).tobytes()))
+            anchors = _pack40(joined[once[kept]] << np.uint64(24))
+            rows.append((chunk, bucket, anchors, np.packbits(hot[kept]).tobytes()))
     return _table(_REPEATED, rows)
 
 
@@ -516,10 +566,10 @@ def without_repeats(
         return _anchors(key[0].as_py(), Chunk(table, length, gram), buckets)
 
     def gather(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _contexts(key[0].as_py(), Chunk(left, length, gram), right, buckets)
+        return _packed(_contexts(key[0].as_py(), Chunk(left, length, gram), right, buckets))
 
     def decide(table: pa.Table) -> pa.Table:
-        return _owners(table, length)
+        return _owners(_unpacked(table), length)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         return _cut(Chunk(left, length, gram), right, keep_bytes)

@@ -183,3 +183,21 @@ def test_owners_of_equal_strings():
     owner = np.array([5, 6, 5, 7, 4, 3, 3, 3])
     valid = np.array([1, 1, 1, 1, 1, 0, 0, 0], bool)
     assert suffixes.smallest_owner(text, owner, valid, 3)[valid].tolist() == [5, 4, 5, 5, 4]
+
+
+def test_an_anchor_with_one_context_is_not_split():
+    rng = np.random.default_rng(11)
+    passage = "".join(map(chr, rng.integers(33, 127, 400)))
+    tables = [pa.table({"doc_id": [i, 1000 + i], "text": [passage, passage]}) for i in range(64)]
+    chunks = [suffixes.Chunk(t, 50, 20) for t in tables]
+    anchors = pa.concat_tables([suffixes._anchors(k, c, 1) for k, c in enumerate(chunks)])
+    repeated = suffixes._repeated(anchors)
+    sent = [
+        suffixes._contexts(k, c, repeated.filter(pc.equal(repeated["chunk"], k)), 1) for k, c in enumerate(chunks)
+    ]
+    for table, c in zip(sent, chunks, strict=True):
+        places = len(c.first) // 2
+        assert len(table["hash"][0].as_py()) == 8 * places  # each context once, no string of its own
+        packed = suffixes._packed(table)
+        assert suffixes._unpacked(packed).equals(table)
+        assert packed["least"].nbytes < table["least"].nbytes
