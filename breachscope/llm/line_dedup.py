@@ -14,10 +14,11 @@ Short lines, whose pairs are often common ones, have the line less one word as k
 
 Only a key and the number of its line are shuffled. Under each key a line is compared
 with the smallest line only; lines that this leaves in different components are compared
-in a second step. That finds the same components as all pairs would, and a group of
-thousands of variants costs its size, not its square. Bounds on lengths and on the words'
-parity bits come before the distance; both hold for every linked pair. Texts of lines are
-fetched for candidates only, and compared by their words.
+in a second step, if another line under the key is about as long. That finds the same
+components as all pairs would, and a group of
+thousands of variants costs its size, not its square. Bounds on lengths, on the words'
+parity bits and on counts of words come before the distance; all hold for every linked
+pair. Texts of lines are fetched for candidates only, and compared by their words.
 
 DataFrame functions only.
 """
@@ -153,67 +154,98 @@ def _keyed(lines: DataFrame, similarity: float, min_words: int) -> DataFrame:
     )
 
 
-def _parity(norm: Column) -> Column:
-    """Four numbers of 64 bits; each of the 256 bits tells whether an odd number of words
-    have its place as their hash. An edit changes two bits at most."""
+def _sketch(norm: Column) -> Column:
+    """What bounds the distance of two lines, in eight numbers of 64 bits. Of the 256 bits
+    ``p0`` to ``p3`` each tells whether an odd number of words have its place as their hash.
+    ``c0`` to ``c3`` hold 16 counts of words by another part of the hash, 16 bits each:
+    they tell lines apart that say a word many times, or have too many words for the bits."""
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
     part = lambda h: F.shiftrightunsigned(h, 62)
+    one = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 2).bitwiseAND(F.lit(48)).cast("int"))
+    place = lambda h: F.shiftrightunsigned(h, 8).bitwiseAND(F.lit(3))
     none = F.lit(0).cast("bigint")
-    here = lambda h, i: F.when(part(h) == i, bit(h)).otherwise(none)
-    start = F.struct(*[none.alias(f"p{i}") for i in range(4)])
-    step = lambda out, h: F.struct(*[out[f"p{i}"].bitwiseXOR(here(h, i)).alias(f"p{i}") for i in range(4)])
+    start = F.struct(*[none.alias(f"{x}{i}") for x in "pc" for i in range(4)])
+    step = lambda out, h: F.struct(
+        *[out[f"p{i}"].bitwiseXOR(F.when(part(h) == i, bit(h)).otherwise(none)).alias(f"p{i}") for i in range(4)],
+        *[(out[f"c{i}"] + F.when(place(h) == i, one(h)).otherwise(none)).alias(f"c{i}") for i in range(4)],
+    )
     return F.aggregate(F.transform(F.split(norm, " "), lambda w: F.xxhash64(w)), start, step)
 
 
 def _close(a: tuple[str, str], b: tuple[str, str], similarity: float, min_words: int) -> Column:
-    """Whether ``(n, parity)`` of two lines leave them a chance to be linked."""
+    """Whether ``(n, sketch)`` of two lines leave them a chance to be linked.
+
+    One edit changes the number of words by one and one count by one, or it changes two
+    counts by one; a bit changes with its count."""
     allowed = _allowed(F.greatest(a[0], b[0]), similarity)
+    left = allowed * 2 - F.abs(F.col(a[0]) - F.col(b[0]))
     odd = [F.bit_count(F.col(a[1])[f"p{i}"].bitwiseXOR(F.col(b[1])[f"p{i}"])) for i in range(4)]
+    count = lambda x, i, k: F.shiftrightunsigned(F.col(x)[f"c{i}"], 16 * k).bitwiseAND(F.lit(0xFFFF))
+    apart = [F.abs(count(a[1], i, k) - count(b[1], i, k)) for i in range(4) for k in range(4)]
     return (
         (F.greatest(a[0], b[0]) >= min_words)
         & (F.abs(F.col(a[0]) - F.col(b[0])) <= allowed)
-        & (odd[0] + odd[1] + odd[2] + odd[3] <= allowed * 2)
+        & (odd[0] + odd[1] + odd[2] + odd[3] <= left)
+        & ((F.greatest(a[0], b[0]) > 0xFFFF) | (sum(apart[1:], apart[0]) <= left))
     )
 
 
-def _distance(words: tuple[Column, Column], code, most: Column) -> Column:
-    """Word edits between two lines, -1 if more than ``most``; ``code`` numbers the words."""
+def _letters(words: Column, code) -> Column:
+    """A string of one character for each word; ``code`` numbers the words."""
     letter = lambda w: F.lpad(F.hex(F.pmod(code(w), F.lit(_CODES)) + 0x100), 4, "0")
-    texts = [F.decode(F.unhex(F.array_join(F.transform(x, letter), "")), "UTF-16BE") for x in words]
-    return F.call_function("levenshtein", *texts, most)
+    return F.decode(F.unhex(F.array_join(F.transform(words, letter), "")), "UTF-16BE")
+
+
+def _short_code(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(_CODES))
+
+
+def _within(a: Column, b: Column, most: Column) -> Column:
+    return F.call_function("levenshtein", a, b, most) >= 0
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose distance in word edits is at most ``(1 - similarity)`` of the longer
-    line. Hashes of the words never make a distance larger; they come first, and the
-    words themselves decide."""
-    sides = [texts.select(F.col("line").alias(x), F.split("norm", " ").alias(f"words_{x}")) for x in "ab"]
-    both = pairs.join(sides[0], "a").join(sides[1], "b")
-    words = (F.col("words_a"), F.col("words_b"))
-    allowed = _allowed(F.greatest(*[F.size(w) for w in words]), similarity)
-    both = both.withColumn("allowed", allowed)
-    most = F.col("allowed")
-    by_hash = _distance(words, lambda w: F.xxhash64(w), most) >= 0
+    line. ``texts`` has a character for each word in ``code``; hashes of the words never
+    make a distance larger, so these come first. The words themselves decide."""
+    sides = [texts.select(F.col("line").alias(x), F.col("n").alias(f"n_{x}"), F.col("code").alias(f"code_{x}")) for x in "ab"]
+    allowed = _allowed(F.greatest("n_a", "n_b"), similarity)
+    hopeful = settle(
+        pairs.join(sides[0], "a").join(sides[1], "b").where(_within(F.col("code_a"), F.col("code_b"), allowed)).select("a", "b")
+    )
+    sides = [texts.select(F.col("line").alias(x), F.col("norm").alias(f"norm_{x}")) for x in "ab"]
+    both = hopeful.join(sides[0], "a").join(sides[1], "b")
+    words = [F.split(f"norm_{x}", " ") for x in "ab"]
+    different = F.array_distinct(F.concat(*words))
+    # Where no two words of a pair have one hash, its distance is that of the hashes.
+    clear = F.size(F.array_distinct(F.transform(different, _short_code))) == F.size(different)
+    both = both.select("a", "b", "norm_a", "norm_b", clear.alias("clear"))
     # Written, so that the list of words is made once for a pair and not for every word.
-    hopeful = settle(both.where(by_hash).withColumn("different", F.array_distinct(F.concat(*words))))
-    exact = F.when(
-        F.size("different") <= _NUMBERED_WORDS,
-        _distance(words, lambda w: F.array_position(F.col("different"), w), most) >= 0,
-    ).otherwise(_distance(words, lambda w: F.xxhash64(F.lit(7), w), most) >= 0)
-    linked = settle(hopeful.where(exact).select("a", "b"))
-    release(hopeful)
+    unclear = settle(both.withColumn("different", F.when(~F.col("clear"), different)), compression="zstd")
+    most = _allowed(F.greatest(*[F.size(w) for w in words]), similarity)
+    numbered = lambda w: F.array_position(F.col("different"), w)
+    hashed = lambda w: F.xxhash64(F.lit(7), w)
+    exact = F.when(F.col("clear"), True).otherwise(
+        F.when(F.size("different") <= _NUMBERED_WORDS, _within(*[_letters(w, numbered) for w in words], most)).otherwise(
+            _within(*[_letters(w, hashed) for w in words], most)
+        )
+    )
+    linked = settle(unclear.where(exact).select("a", "b"))
+    release(hopeful, unclear)
     return linked
 
 
 def _candidates(pairs: DataFrame, lines: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """The linked pairs among ``pairs(a, b)``. Texts are read only of lines that length
-    and parity bits leave in a pair."""
-    meta = [lines.select(F.col("line").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}")) for x in "ab"]
-    close = _close(("n_a", "p_a"), ("n_b", "p_b"), similarity, min_words)
+    and sketch leave in a pair."""
+    meta = [lines.select(F.col("line").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab"]
+    close = _close(("n_a", "s_a"), ("n_b", "s_b"), similarity, min_words)
     hopeful = settle(pairs.join(meta[0], "a").join(meta[1], "b").where(close).select("a", "b"))
     ends = settle(hopeful.select(F.col("a").alias("line")).union(hopeful.select(F.col("b").alias("line"))).distinct())
     wanted = F.broadcast(ends) if ends.count() <= BROADCAST_LINES else ends
-    texts = settle(lines.join(wanted, "line", "left_semi").select("line", "norm"), compression="zstd")
+    # The characters are made once for a line here, however many pairs it is in.
+    texts = lines.join(wanted, "line", "left_semi").select("line", "n", "norm")
+    texts = settle(texts.withColumn("code", _letters(F.split("norm", " "), _short_code)), compression="zstd")
     linked = _similar(hopeful, texts, similarity)
     release(ends, texts, hopeful)
     return linked
@@ -236,7 +268,7 @@ def line_groups(
     lines = settle(
         made.groupBy("digest")
         .agg(F.first("norm").alias("norm"), F.min(place).alias("keep"), F.count(F.lit(1)).alias("occurs"))
-        .withColumns({"n": F.size(F.split("norm", " ")), "parity": _parity(F.col("norm"))})
+        .withColumns({"n": F.size(F.split("norm", " ")), "sketch": _sketch(F.col("norm"))})
         .withColumn("line", F.monotonically_increasing_id()),
         compression="zstd",
     )
@@ -252,10 +284,20 @@ def line_groups(
     first = _candidates(stars, lines, similarity, min_words)
     known = settle(components(first))
 
+    # Under each key the smallest line has been compared with all others; what is left are
+    # the others among themselves. Of these a line has a chance only if the next longer or
+    # the next shorter one is near enough in length.
+    rest = listed.where("line > low").select("key", "line").join(lines.select("line", "n"), "line")
+    if_near = lambda other: F.coalesce(
+        F.abs(F.col("n") - F.col(other)) <= _allowed(F.greatest("n", other), similarity), F.lit(False)
+    )
     named = settle(
-        listed.select("key", "line")
-        .join(known.select(F.col("node").alias("line"), "component"), "line", "left")
+        rest.join(known.select(F.col("node").alias("line"), "component"), "line", "left")
         .withColumn("component", F.coalesce("component", "line"))
+        .withColumn("shorter", F.expr("lag(n) OVER (PARTITION BY key ORDER BY n)"))
+        .withColumn("longer", F.expr("lead(n) OVER (PARTITION BY key ORDER BY n)"))
+        .where(if_near("shorter") | if_near("longer"))
+        .select("key", "line", "component")
     )
     release(listed, known)
     # Keys with the same lines need one look only; the lines are told apart by their
@@ -275,9 +317,9 @@ def line_groups(
         .select("key")
     )
     # What bounds the distance goes into the join, so that hopeless pairs are never rows.
-    left = settle(named.join(open_keys, "key").join(lines.select("line", "n", "parity"), "line"))
+    left = settle(named.join(open_keys, "key").join(lines.select("line", "n", "sketch"), "line"))
     ends = [
-        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("line", "component", "n", "parity")])
+        left.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("line", "component", "n", "sketch")])
         for x in "ab"
     ]
     across = (
@@ -285,7 +327,7 @@ def line_groups(
         .join(ends[1], "key")
         .where(
             (F.col("component_a") < F.col("component_b"))
-            & _close(("n_a", "parity_a"), ("n_b", "parity_b"), similarity, min_words)
+            & _close(("n_a", "sketch_a"), ("n_b", "sketch_b"), similarity, min_words)
         )
         .select(F.least("line_a", "line_b").alias("a"), F.greatest("line_a", "line_b").alias("b"))
         .distinct()

@@ -256,3 +256,21 @@ def test_an_entry_of_one_label_holds_for_all_hosts_below_it(spark):
         entries.select("pattern", "action", F.col("day").cast("date").alias("listed_at")),
     )
     assert {(r["page_id"], r["blocked"]) for r in found.collect()} == {(1, True), (2, False), (3, False)}
+
+
+def test_lines_that_repeat_other_words_are_no_candidates(spark, monkeypatch):
+    # An even number of each word leaves no parity bit; all lines have one pair of words in common.
+    lines = [" ".join(["to"] * 30 + [f"word{i}"] * 30) for i in range(40)]
+    lines += [lines[0] + " end", " ".join(["so"] + lines[1].split()[1:])]
+    looked_at = []
+    similar = line_dedup._similar
+
+    def counted(pairs, *args):
+        looked_at.append(pairs.count())
+        return similar(pairs, *args)
+
+    monkeypatch.setattr(line_dedup, "_similar", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_removed"] for r in line_dedup.deduplicate_lines(docs).collect()}
+    assert sorted(i for i, n in found.items() if n) == [40, 41]
+    assert sum(looked_at) < 40 * 39 / 2 / 4
