@@ -40,6 +40,9 @@ CHUNK_BYTES = 4 << 20
 # An anchor with so many contexts, each counted once, in so many chunks is split. Fewer
 # than that are a bounded number of rows from each chunk.
 HOT_CHUNKS = 32
+# A bucket is sorted in so many parts, one after the other: sorting takes many times the
+# bytes that it sorts.
+PARTS = 16
 _NO_ID = 2**63 - 1
 # Marks a context that is a single string of a split anchor.
 _SINGLE = 0x8000
@@ -232,6 +235,11 @@ def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchor & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _part(anchor: np.ndarray) -> np.ndarray:
+    """By bits that neither choose the anchor nor its bucket."""
+    return ((anchor >> np.uint64(24)) % np.uint64(PARTS)).astype(np.uint8)
+
+
 def _split(buckets: np.ndarray) -> list[tuple[int, int, int]]:
     """(bucket, from, to) for each run of a sorted array."""
     begin = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1]))) if len(buckets) else []
@@ -257,14 +265,15 @@ def _column(table: pa.Table, name: str) -> list:
 
 _ANCHORS = "bucket int, chunk long, keys binary, around binary, several binary"
 _REPEATED = "chunk long, bucket int, keys binary, hot binary"
-_CONTEXTS = "bucket int, chunk long, hash binary, least binary, greatest binary, size binary, text binary"
+_CONTEXTS = "bucket int, chunk long, hash binary, least binary, greatest binary, size binary, text binary, part binary"
 _OWNERS = "chunk long, hash binary, first binary, count binary, owner binary"
 _CUT = (
     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 )
 
 
-_PACKED = ("least", "greatest", "size", "text")
+_PACKED = ("least", "greatest", "size", "text", "part")
+_WIDTH = {"least": 8, "greatest": 8, "size": 2, "part": 1}
 
 
 def _turned(raw: bytes, rows: int) -> bytes:
@@ -278,7 +287,7 @@ def _packed(contexts: pa.Table) -> pa.Table:
     for name in _PACKED:
         made = []
         for raw in _column(contexts, name):
-            plain = raw if name == "text" else _turned(raw, len(raw) // (2 if name == "size" else 8))
+            plain = raw if name == "text" else _turned(raw, len(raw) // _WIDTH[name])
             made.append(len(raw).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True))
         at = contexts.schema.get_field_index(name)
         contexts = contexts.set_column(at, name, pa.array(made, pa.binary()))
@@ -290,7 +299,7 @@ def _unpacked(contexts: pa.Table) -> pa.Table:
         made = []
         for raw in _column(contexts, name):
             plain = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
-            made.append(plain if name == "text" else _turned(plain, 2 if name == "size" else 8))
+            made.append(plain if name == "text" else _turned(plain, _WIDTH[name]))
         at = contexts.schema.get_field_index(name)
         contexts = contexts.set_column(at, name, pa.array(made, pa.binary()))
     return contexts
@@ -364,8 +373,8 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 
 def _gathered(
-    chunk: int, buckets: np.ndarray, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, c: Chunk,
-    first: np.ndarray, mark: int,
+    chunk: int, buckets: np.ndarray, parts: np.ndarray, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray,
+    c: Chunk, first: np.ndarray, mark: int,
 ) -> list[tuple]:
     """Rows of contexts, each once with the least and the greatest id that has it."""
     order = np.lexsort((ids, hashes, buckets))
@@ -375,7 +384,7 @@ def _gathered(
     start = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
     stop = np.append(start[1:], len(hashes)) - 1
     once = order[start]
-    size = size[once]
+    size, parts = size[once], parts[once]
     ends = np.cumsum(size)
     text = c.bytes[kernel.ranges(first[once], size)].tobytes()
     return [
@@ -387,6 +396,7 @@ def _gathered(
             ids[stop[i:j]].astype("<i8").tobytes(),
             (size[i:j] | mark).astype("<u2").tobytes(),
             text[int(ends[i] - size[i]) : int(ends[j - 1])],
+            parts[i:j].tobytes(),
         )
         for b, i, j in _split(buckets[once])
     ]
@@ -412,34 +422,26 @@ def _contexts(chunk: int, c: Chunk, repeated: pa.Table, buckets: int) -> pa.Tabl
         split = np.flatnonzero(np.isin(own, sent[hot])) if hot.any() else split
     ids = c.order_ids[c.row]
     size = c.last[kept] - c.first[kept] + c.length
-    rows = _gathered(chunk, bucket[kept], c.contexts()[kept], ids[kept], size, c, c.first[kept], 0)
+    rows = _gathered(
+        chunk, bucket[kept], _part(c.anchor[kept]), c.contexts()[kept], ids[kept], size, c, c.first[kept], 0
+    )
     if len(split):
         many = c.last[split] - c.first[split] + 1
         starts = kernel.ranges(c.first[split], many)
         hashes = c.strings(starts)
         size = np.full(len(starts), c.length)
         rows += _gathered(
-            chunk, _bucket(hashes, buckets), hashes, np.repeat(ids[split], many), size, c, starts, _SINGLE
+            chunk, _bucket(hashes, buckets), _part(hashes), hashes, np.repeat(ids[split], many), size, c, starts, _SINGLE
         )
     return _table(_CONTEXTS, rows)
 
 
-def _owners(table: pa.Table, length: int) -> pa.Table:
-    """Sort the strings of a bucket; tell each chunk which of its contexts hold strings
-    of a smaller document, as runs of starts with one owner."""
-    chunks = _column(table, "chunk")
-    raw_hashes = [np.frombuffer(x, "<u8") for x in _column(table, "hash")]
-    counts = [len(x) for x in raw_hashes]
-    from_row = np.repeat(np.arange(len(chunks)), counts)
-    hashes = np.concatenate(raw_hashes)
-    least = np.concatenate([np.frombuffer(x, "<i8") for x in _column(table, "least")])
-    greatest = np.concatenate([np.frombuffer(x, "<i8") for x in _column(table, "greatest")])
-    sizes = np.concatenate([np.frombuffer(x, "<u2") for x in _column(table, "size")]).astype(np.int64)
-    single = (sizes & _SINGLE) > 0
-    sizes &= _SINGLE - 1
-    text = np.frombuffer(b"".join(_column(table, "text")), np.uint8)
-    begins = np.cumsum(sizes) - sizes
-
+def _runs(
+    text: np.ndarray, hashes: np.ndarray, least: np.ndarray, greatest: np.ndarray, sizes: np.ndarray,
+    begins: np.ndarray, length: int,
+) -> tuple[np.ndarray, ...]:
+    """Contexts that hold strings of a smaller document, with first start, number of starts
+    and owner of each run of one owner."""
     # Equal contexts of different chunks are sorted once, for the least id of all.
     _, one, back = np.unique(hashes, return_index=True, return_inverse=True)
     owner = np.full(len(one), _NO_ID, np.int64)
@@ -467,16 +469,43 @@ def _owners(table: pa.Table, length: int) -> pa.Table:
     item = np.repeat(np.arange(len(back)), per)
     useful = run_owner[run] < greatest[item]
     run, item = run[useful], item[useful]
+    return item, run_first[run], run_count[run], run_owner[run]
+
+
+def _owners(table: pa.Table, length: int) -> pa.Table:
+    """Sort the strings of a bucket, part by part; tell each chunk which of its contexts
+    hold strings of a smaller document, as runs of starts with one owner."""
+    chunks = _column(table, "chunk")
+    raw_hashes = [np.frombuffer(x, "<u8") for x in _column(table, "hash")]
+    counts = [len(x) for x in raw_hashes]
+    from_row = np.repeat(np.arange(len(chunks)), counts)
+    hashes = np.concatenate(raw_hashes)
+    least = np.concatenate([np.frombuffer(x, "<i8") for x in _column(table, "least")])
+    greatest = np.concatenate([np.frombuffer(x, "<i8") for x in _column(table, "greatest")])
+    sizes = np.concatenate([np.frombuffer(x, "<u2") for x in _column(table, "size")]).astype(np.int64)
+    part = np.concatenate([np.frombuffer(x, np.uint8) for x in _column(table, "part")])
+    single = (sizes & _SINGLE) > 0
+    sizes &= _SINGLE - 1
+    text = np.frombuffer(b"".join(_column(table, "text")), np.uint8)
+    begins = np.cumsum(sizes) - sizes
+
+    found = []
+    for p in np.unique(part):
+        of = np.flatnonzero(part == p)
+        item, *runs = _runs(text, hashes[of], least[of], greatest[of], sizes[of], begins[of], length)
+        found.append((of[item], *runs))
+    item, first, count, owner = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(from_row[item], kind="stable")
+    item, first, count, owner = item[order], first[order], count[order], owner[order]
     rows = []
     for i, a, b in _split(from_row[item]):
-        r = run[a:b]
         rows.append(
             (
                 chunks[i],
                 hashes[item[a:b]].astype("<u8").tobytes(),
-                np.where(single[item[a:b]], _SINGLE_FIRST, run_first[r]).astype("<u2").tobytes(),
-                run_count[r].astype("<u2").tobytes(),
-                run_owner[r].astype("<i8").tobytes(),
+                np.where(single[item[a:b]], _SINGLE_FIRST, first[a:b]).astype("<u2").tobytes(),
+                count[a:b].astype("<u2").tobytes(),
+                owner[a:b].astype("<i8").tobytes(),
             )
         )
     return _table(_OWNERS, rows)

@@ -201,3 +201,21 @@ def test_an_anchor_with_one_context_is_not_split():
         packed = suffixes._packed(table)
         assert suffixes._unpacked(packed).equals(table)
         assert packed["least"].nbytes < table["least"].nbytes
+
+
+def test_a_bucket_is_sorted_in_parts(monkeypatch):
+    rng = np.random.default_rng(12)
+    passage = "".join(map(chr, rng.integers(33, 127, 20000)))
+    chunks = [suffixes.Chunk(pa.table({"doc_id": [i], "text": [passage]}), 50, 20) for i in range(2)]
+    repeated = suffixes._repeated(pa.concat_tables([suffixes._anchors(k, c, 1) for k, c in enumerate(chunks)]))
+    sent = pa.concat_tables(
+        [suffixes._contexts(k, c, repeated.filter(pc.equal(repeated["chunk"], k)), 1) for k, c in enumerate(chunks)]
+    )
+    sorted_at_once = []
+    smallest_owner = suffixes.smallest_owner
+    monkeypatch.setattr(
+        suffixes, "smallest_owner", lambda text, *more: sorted_at_once.append(len(text)) or smallest_owner(text, *more)
+    )
+    owners = suffixes._owners(sent, 50)
+    assert max(sorted_at_once) < sum(sorted_at_once) / 8
+    assert [r["n_removed"] for r in suffixes._cut(chunks[1], owners.filter(pc.equal(owners["chunk"], 1)), False).to_pylist()] == [20000]
