@@ -219,3 +219,54 @@ def test_a_bucket_is_sorted_in_parts(monkeypatch):
     owners = suffixes._owners(sent, 50)
     assert max(sorted_at_once) < sum(sorted_at_once) / 8
     assert [r["n_removed"] for r in suffixes._cut(chunks[1], owners.filter(pc.equal(owners["chunk"], 1)), False).to_pylist()] == [20000]
+
+
+def _sent(texts_of_chunks, buckets=1):
+    chunks = [suffixes.Chunk(pa.table({"doc_id": ids, "text": texts}), 50, 20) for ids, texts in texts_of_chunks]
+    anchors = pa.concat_tables([suffixes._anchors(k, c, buckets) for k, c in enumerate(chunks)])
+    repeated = suffixes._repeated(anchors)
+    return chunks, [
+        suffixes._contexts(k, c, repeated.filter(pc.equal(repeated["chunk"], k)), buckets) for k, c in enumerate(chunks)
+    ]
+
+
+def _bytes(tables, name):
+    return sum(len(x) for t in tables for x in t[name].to_pylist())
+
+
+def test_the_bytes_of_a_context_are_sent_once():
+    rng = np.random.default_rng(13)
+    passage = "".join(map(chr, rng.integers(33, 127, 3000)))
+    once = _bytes(_sent([([0], [passage]), ([1], [passage])])[1], "text")
+    chunks, sent = _sent([([k], [passage]) for k in range(20)])
+    assert _bytes(sent, "text") == once
+    owners = suffixes._owners(pa.concat_tables(sent[::-1]), 50)
+    for k, c in enumerate(chunks):
+        cut = suffixes._cut(c, owners.filter(pc.equal(owners["chunk"], k)), True).to_pylist()
+        assert [r["kept"] for r in cut] == [passage.encode() if k == 0 else b""]
+
+
+def test_an_anchor_alone_does_not_make_a_context_stay():
+    rng = np.random.default_rng(14)
+    other = lambda n: "".join(map(chr, rng.integers(33, 127, n)))
+    words = "twenty-five bytes or so.."
+    rows = [([k], [other(200) + words + other(200)]) for k in range(6)]
+    assert _bytes(_sent(rows)[1], "hash") < 8 * 6  # a byte of a side may agree by chance
+    shared = other(12) + words + other(13)
+    found = _sent([([k], [other(200) + shared + other(200)]) for k in range(6)])[1]
+    assert all(t.num_rows for t in found)
+
+
+def test_texts_of_a_chunk_are_packed():
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "chunk": pa.array([4, 2, 4, 4, 2], pa.int64()),
+            "doc_id": pa.array([1, None, None, 7, 3], pa.int64()),
+            "text": ["one é" * 200, None, "", None, "two"],
+        }
+    )
+    packed = pa.Table.from_batches(suffixes._packed_texts([batch, batch.slice(0, 0), batch.slice(3)]))
+    chunk = lambda k: suffixes._unpacked_texts(packed.filter(pc.equal(packed["chunk"], k))).to_pydict()
+    assert chunk(4) == {"doc_id": [1, None, 7, 7], "text": [("one é" * 200).encode(), b"", b"", b""]}
+    assert chunk(2) == {"doc_id": [None, 3, 3], "text": [b"", b"two", b"two"]}
+    assert packed["text"].nbytes < 400
