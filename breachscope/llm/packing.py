@@ -193,8 +193,9 @@ def _cut(placed: DataFrame, length: int) -> DataFrame:
     )
 
 
-def wide_crc(pieces: DataFrame) -> DataFrame:
-    """Replace ``ids`` by ``ids_crc32``, the CRC-32 of the ids as 32-bit numbers."""
+def wide_crc(pieces: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """Replace ``ids`` by ``ids_crc32``, the CRC-32 of the ids as 32-bit numbers; with
+    ``keep_ids`` the ids follow as the last column."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,9 +206,11 @@ def wide_crc(pieces: DataFrame) -> DataFrame:
             ]
             columns = [pa.array(crc, pa.int64()) if i == at else c for i, c in enumerate(batch.columns)]
             names = ["ids_crc32" if n == "ids" else n for n in batch.schema.names]
+            if keep_ids:
+                columns, names = [*columns, batch.column(at)], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = ", ".join(
         "ids_crc32 long" if name == "ids" else f"{name} {kind}" for name, kind in pieces.dtypes
     )
-    return pieces.mapInArrow(digest, fields)
+    return pieces.mapInArrow(digest, fields + ", ids binary" * keep_ids)

@@ -1,10 +1,14 @@
+import zlib
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from breachscope.llm import decontamination, language, line_dedup
 from breachscope.llm.jaccard import jaccard_components
+from breachscope.llm.queries import tokenizer_path
 from breachscope.session import shared_folder, work
 
 
@@ -113,3 +117,16 @@ def test_every_stage_takes_null_and_repeated_ids(spark, sf_dir):
     pieces = P.pack_sequences(spark, docs, sf_dir).collect()
     assert sum(r["length"] for r in pieces if r["start"] == 0 and r["doc_tokens"] == 1) == 2
     assert sum(r["start"] == 0 for r in pieces) == len(rows)
+
+
+def test_the_packed_sequences_have_their_token_ids(spark, sf_dir):
+    texts = ["Some words of one text, and more of them. " * 40, "", None, "two ünïcode lines\nof 12 words"] * 3
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(texts)], schema)
+    encoder = Tokenizer.from_file(tokenizer_path())
+    made = {}
+    for r in P.pack_sequences(spark, docs, sf_dir).orderBy("doc_id", "start").collect():
+        ids = np.frombuffer(r["ids"], "<u2")
+        assert len(ids) == r["length"] and zlib.crc32(ids.astype("<u4").tobytes()) == r["ids_crc32"]
+        made[r["doc_id"]] = made.get(r["doc_id"], []) + ids.tolist()
+    assert made == {i: [*encoder.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
